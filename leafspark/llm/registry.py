@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from leafspark.llm import quality_rules
+from leafspark.llm import packing, quality_rules, store, token_file
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,12 +16,44 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op2_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tokens = packing.tokenized(docs, tokenizer("word_bpe_49k.json"), "dropped", end_id=2)
+    packed = packing.pack(tokens)
+    digests = packed.pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return digests.join(packed.places, ["row", "start"]).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
+    )
+
+
+def op9_addressable_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = store.new_path(spark, "token-file")
+    docs = table(spark, sf_dir, "documents")
+    token_file.write_tokens(docs, path, tokenizer("byte_bpe_50k.json"), "glued", end_id=2)
+    return token_file.read_tokens(spark, path).select(
+        "doc_id",
+        "start",
+        (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
+
+
 def op10_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    return {"op10_quality_cascade": op10_quality_cascade}
+    return {
+        "op2_nnls_packing": op2_nnls_packing,
+        "op9_addressable_tokens": op9_addressable_tokens,
+        "op10_quality_cascade": op10_quality_cascade,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
