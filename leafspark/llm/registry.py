@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafspark.llm import packing, quality_rules, store, token_file
+from leafspark.llm import kd_shards, packing, quality_rules, store, token_file
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +32,13 @@ def op2_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kd_shards.placed(table(spark, sf_dir, "documents"), shards=40).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op9_addressable_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = store.new_path(spark, "token-file")
     docs = table(spark, sf_dir, "documents")
@@ -51,6 +58,7 @@ def op10_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op2_nnls_packing": op2_nnls_packing,
+        "op6_kd_shards": op6_kd_shards,
         "op9_addressable_tokens": op9_addressable_tokens,
         "op10_quality_cascade": op10_quality_cascade,
     }
