@@ -1,22 +1,28 @@
 """Token ids of whole texts, by the tokenizers library, word by word from a bounded cache.
 
 Encoding a text word by word equals encoding it whole where every cut is one that the tokenizer's own
-pre-splitting makes. ``glued`` tokenizers (byte level, a space opens the next word) are cut before a space
-that a letter or digit follows; ``dropped`` tokenizers (white space is thrown away) at every space. A text
-with any other space is encoded whole. The cache holds each word's ids as bytes, so that a text's ids are
-one join; it is emptied when full, which bounds a worker's memory.
+pre-splitting makes. ``dropped`` tokenizers (white space is thrown away) are cut at every space and line
+end. ``glued`` tokenizers (byte level, a space opens the next word) are cut before a space and around a line
+end; texts with other or longer runs of white space, where the pre-splitting depends on the run, are encoded
+whole. The cache holds each word's ids as bytes, so that a text's ids are one join. New words are encoded
+many at once, with a separator between them whose own id shows where each ends. The cache is emptied when
+full, which bounds a worker's memory.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 
-CACHE_WORDS = 250_000
-WHOLE_BATCH = 16
+CACHE_WORDS = 1_000_000
+BATCH = 4096
+TEXTS = 128
+LINE, BARE = "\n", "\x01"
+_RUNS = re.compile(r"[^\w\n][.,]|_[.,]")
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
 
 
@@ -32,46 +38,97 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # in a text, their strings are ordinary text
         self.glued = cut == "glued"
+        self.mark = "\n" if self.glued else " | "
+        (self.mark_id,) = self.tokenizer.encode(self.mark, add_special_tokens=False).ids
+        self.line_end = np.asarray([self.mark_id], dtype="<u4").tobytes()
         self.known: dict[str, bytes] = {}
 
-    def _whole(self, texts: list[str]) -> list[bytes]:
+    def whole(self, text: str) -> bytes:
+        (e,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return np.asarray(e.ids, dtype="<u4").tobytes()
+
+    def _many(self, words: list[str]) -> list[bytes]:
+        """Ids of words that hold no mark."""
         out: list[bytes] = []
-        for i in range(0, len(texts), WHOLE_BATCH):
-            for e in self.tokenizer.encode_batch_fast(texts[i : i + WHOLE_BATCH], add_special_tokens=False):
-                out.append(np.asarray(e.ids, dtype="<u4").tobytes())
+        for i in range(0, len(words), BATCH):
+            part = words[i : i + BATCH]
+            (e,) = self.tokenizer.encode_batch_fast([self.mark.join(part)], add_special_tokens=False)
+            ids = np.asarray(e.ids, dtype="<u4")
+            ends = np.flatnonzero(ids == self.mark_id).tolist()
+            if len(ends) != len(part) - 1:
+                raise ValueError("a separator's id occurs in a word")
+            raw = ids.tobytes()
+            out += [raw[4 * a : 4 * b] for a, b in zip([0, *[x + 1 for x in ends]], [*ends, len(ids)])]
         return out
 
-    def _learn(self, words: set[str]) -> None:
-        if len(self.known) + len(words) > CACHE_WORDS:
-            self.known.clear()
-        new = list(words)
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            for word, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[word] = np.asarray(e.ids, dtype="<u4").tobytes()
+    def _learn(self, units: set[str]) -> bool:
+        """Units into the cache; false where one of them can't be cut out of its text.
 
-    def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        first, *rest = text.split(" ")
+        A unit is what a space precedes; after LINE it opens a line, after BARE nothing precedes it.
+        """
+        if len(self.known) + len(units) > CACHE_WORDS:
+            self.known.clear()
+        words = {u: u[1:] if u[:1] in (LINE, BARE) else u for u in units}
+        if not self.glued:
+            odd = [u for u in units if "|" in u]
+            self.known.update((u, self.whole(words[u])) for u in odd)
+            plain = [u for u in units if "|" not in u]
+            self.known.update(zip(plain, self._many([words[u] for u in plain])))
+            return True
+        if not all(w.split() == [w] or (not w and u) for u, w in words.items()):
+            return False
+        inner = [u for u, w in words.items() if u is w]
+        self.known.update(zip(inner, self._many([" " + u for u in inner])))
+        outer = [u for u, w in words.items() if u is not w and w]
+        for u, ids in zip(outer, self._many([words[u] for u in outer])):
+            self.known[u] = self.line_end + ids if u[0] == LINE else ids
+        self.known[LINE], self.known[BARE] = self.line_end, b""
+        return True
+
+    def _units(self, text: str) -> list[str] | None:
+        """Cuts of a text, where the pre-splitting makes them too."""
+        if BARE in text:
+            return None
         if self.glued:
-            if not all(w[:1].isalnum() for w in rest):
-                return self._whole([text])[0]
-            words = [first, *[" " + w for w in rest]]
+            if text[-1].isspace() or text[0].isspace() or "\n\n\n" in text or "\n\n " in text:
+                return None
+            text = BARE + text.replace("\n", " \n")
         else:
-            words = [first, *rest]
+            text = (text.lower() if text.isascii() else text).replace("\n", " ")
+        if not _RUNS.search(text):  # full stops and commas follow words: they are pieces of their own
+            text = text.replace(".", " \x01.").replace(",", " \x01,")
+        return text.split(" ")
+
+    def encode(self, text: str) -> bytes:
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text; the words new to all of them are learned at once."""
         get = self.known.get
-        found = [get(w) for w in words]
-        if None in found:
-            missing = {w for w, b in zip(words, found) if b is None}
-            if len(missing) > CACHE_WORDS // 2:
-                return self._whole([text])[0]
-            self._learn(missing)
-            found = [get(w) for w in words]
-            if None in found:  # the cache was emptied for the missing ones
-                self._learn({w for w, b in zip(words, found) if b is None} | missing)
-                found = [get(w) for w in words]
-        return b"".join(found)
+        cuts = [self._units(t) if t else [] for t in texts]
+        found = [None if u is None else list(map(get, u)) for u in cuts]
+        missing: set[str] = set()
+        for units, ids in zip(cuts, found):
+            if ids is not None and None in ids:
+                missing.update(u for u, b in zip(units, ids) if b is None)
+        if not missing:
+            return [self.whole(t) if ids is None else b"".join(ids) for t, ids in zip(texts, found)]
+        if len(texts) > 1 and len(self.known) + len(missing) > CACHE_WORDS:
+            self.known.clear()  # and each text by itself, whose words then stay until it is joined
+        elif len(missing) <= CACHE_WORDS // 4 and self._learn(missing):
+            known = self.known
+            out = []
+            for t, units, ids in zip(texts, cuts, found):
+                if ids is not None and None in ids:
+                    ids = [get(u) for u in units]
+                    if None in ids:
+                        known.clear()
+                        ids = list(map(get, units)) if self._learn(set(units)) else None
+                out.append(self.whole(t) if ids is None else b"".join(ids))
+            return out
+        if len(texts) == 1:
+            return [self.whole(texts[0])]
+        return [self.encode_all([t])[0] for t in texts]
 
 
 def encoder(path: str, cut: str) -> Encoder:
@@ -88,6 +145,7 @@ def encoded(
     enc = encoder(path, cut)
     end = b"" if end_id is None else np.asarray([end_id], dtype="<u4").tobytes()
     for batch in batches:
-        keys, texts = batch.column(0), batch.column(1)
-        for i in range(batch.num_rows):
-            yield keys[i].as_py(), enc.encode(texts[i].as_py() or "") + end
+        for i in range(0, batch.num_rows, TEXTS):
+            keys, texts = (batch.column(c).slice(i, TEXTS).to_pylist() for c in (0, 1))
+            for key, ids in zip(keys, enc.encode_all([t or "" for t in texts])):
+                yield key, ids + end
