@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafspark.llm import kd_shards, packing, quality_rules, store, token_file
+from leafspark.llm import hash_search, kd_shards, packing, quality_rules, store, token_file
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +32,11 @@ def op2_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return hash_search.search(vectors, vectors.filter(F.col("vec_id") % 20 == 0), k=20)
+
+
 def op6_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kd_shards.placed(table(spark, sf_dir, "documents"), shards=40).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -58,6 +63,7 @@ def op10_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op2_nnls_packing": op2_nnls_packing,
+        "op4_multi_index_hashing": op4_multi_index_hashing,
         "op6_kd_shards": op6_kd_shards,
         "op9_addressable_tokens": op9_addressable_tokens,
         "op10_quality_cascade": op10_quality_cascade,
