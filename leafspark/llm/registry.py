@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafspark.llm import hash_search, kd_shards, packing, quality_rules, store, token_file
+from leafspark.llm import hash_search, kd_shards, packing, pu_quality, quality_rules, store, token_file
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,18 @@ def tokenizer(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    features = pu_quality.featured(table(spark, sf_dir, "documents"))
+    labels = table(spark, sf_dir, "labels").filter(~pu_quality.held_out("doc_id"))
+    model = pu_quality.fit(features, labels)
+    return pu_quality.scored(features, model).select(
+        "doc_id",
+        F.coalesce(pu_quality.held_out("doc_id"), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 def op2_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     tokens = packing.tokenized(docs, tokenizer("word_bpe_49k.json"), "dropped", end_id=2)
@@ -62,6 +74,7 @@ def op10_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_pu_quality": op1_pu_quality,
         "op2_nnls_packing": op2_nnls_packing,
         "op4_multi_index_hashing": op4_multi_index_hashing,
         "op6_kd_shards": op6_kd_shards,
