@@ -26,6 +26,13 @@ _RUNS = re.compile(r"[^\w\n][.,]|_[.,]")
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
 
 
+def _runs(text: str) -> bool:
+    """Whether a full stop or comma may belong to a longer run of punctuation."""
+    if text.replace(" ", "").replace("\n", "").replace(".", "").replace(",", "").replace(BARE, "").isalnum():
+        return any(pair in text for pair in ("..", ",.", ".,", ",,", " .", " ,"))
+    return bool(_RUNS.search(text))
+
+
 class Encoder:
     """encode(text) gives the ids as little-endian unsigned 32-bit integers."""
 
@@ -82,7 +89,8 @@ class Encoder:
         outer = [u for u, w in words.items() if u is not w and w]
         for u, ids in zip(outer, self._many([words[u] for u in outer])):
             self.known[u] = self.line_end + ids if u[0] == LINE else ids
-        self.known[LINE], self.known[BARE] = self.line_end, b""
+        if LINE in units or BARE in units:
+            self.known |= {LINE: self.line_end, BARE: b""}
         return True
 
     def _units(self, text: str) -> list[str] | None:
@@ -95,7 +103,7 @@ class Encoder:
             text = BARE + text.replace("\n", " \n")
         else:
             text = (text.lower() if text.isascii() else text).replace("\n", " ")
-        if not _RUNS.search(text):  # full stops and commas follow words: they are pieces of their own
+        if not _runs(text):  # full stops and commas follow words: they are pieces of their own
             text = text.replace(".", " \x01.").replace(",", " \x01,")
         return text.split(" ")
 
@@ -108,27 +116,31 @@ class Encoder:
         cuts = [self._units(t) if t else [] for t in texts]
         found = [None if u is None else list(map(get, u)) for u in cuts]
         missing: set[str] = set()
+        gaps = []
         for units, ids in zip(cuts, found):
-            if ids is not None and None in ids:
-                missing.update(u for u, b in zip(units, ids) if b is None)
-        if not missing:
-            return [self.whole(t) if ids is None else b"".join(ids) for t, ids in zip(texts, found)]
-        if len(texts) > 1 and len(self.known) + len(missing) > CACHE_WORDS:
-            self.known.clear()  # and each text by itself, whose words then stay until it is joined
-        elif len(missing) <= CACHE_WORDS // 4 and self._learn(missing):
+            at: list[int] = []
+            if ids is not None:
+                i = -1
+                try:
+                    while True:
+                        i = ids.index(None, i + 1)
+                        at.append(i)
+                        missing.add(units[i])
+                except ValueError:
+                    pass
+            gaps.append(at)
+        if missing:
+            # All of them first: learning may empty the cache, but what was found is held in ``found``.
+            fits = len(missing) <= CACHE_WORDS // 2
+            if not fits or not self._learn(missing):
+                if len(texts) == 1:
+                    return [self.whole(texts[0])]
+                return [self.encode_all([t])[0] for t in texts]
             known = self.known
-            out = []
-            for t, units, ids in zip(texts, cuts, found):
-                if ids is not None and None in ids:
-                    ids = [get(u) for u in units]
-                    if None in ids:
-                        known.clear()
-                        ids = list(map(get, units)) if self._learn(set(units)) else None
-                out.append(self.whole(t) if ids is None else b"".join(ids))
-            return out
-        if len(texts) == 1:
-            return [self.whole(texts[0])]
-        return [self.encode_all([t])[0] for t in texts]
+            for units, ids, at in zip(cuts, found, gaps):
+                for i in at:
+                    ids[i] = known[units[i]]
+        return [self.whole(t) if ids is None else b"".join(ids) for t, ids in zip(texts, found)]
 
 
 def encoder(path: str, cut: str) -> Encoder:
