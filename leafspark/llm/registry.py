@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafspark.llm import hash_search, kd_shards, packing, pu_quality, quality_rules, store, token_file
+from leafspark.llm import hash_search, kd_shards, packing, pu_quality, quality_rules, soft_mixing, store, token_file
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,6 +56,26 @@ def op6_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Domains of the labelled table, and the share of tokens that each shall have.
+MIX = {"good": 0.97, "poor": 0.02, "toxic": 0.01}
+
+
+def labelled_domains(labels: DataFrame) -> DataFrame:
+    toxic, poor = F.col("toxic") == 1, F.col("quality") == 0
+    domain = F.when(toxic, "toxic").when(poor, "poor").when(F.col("quality") == 1, "good")
+    return labels.select("doc_id", domain.alias("domain"))
+
+
+def op8_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = soft_mixing.train(docs, labelled_domains(labels), list(MIX))
+    members = soft_mixing.memberships(docs, model)
+    out = soft_mixing.rated(members, soft_mixing.fit_rates(members, list(MIX.values())))
+    return out.select(
+        "doc_id", "tokens", *[F.get("p", F.lit(i)).alias(f"p_{d}") for i, d in enumerate(MIX)], "rate", "copies"
+    )
+
+
 def op9_addressable_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = store.new_path(spark, "token-file")
     docs = table(spark, sf_dir, "documents")
@@ -78,6 +98,7 @@ def queries() -> dict[str, Query]:
         "op2_nnls_packing": op2_nnls_packing,
         "op4_multi_index_hashing": op4_multi_index_hashing,
         "op6_kd_shards": op6_kd_shards,
+        "op8_soft_mixing": op8_soft_mixing,
         "op9_addressable_tokens": op9_addressable_tokens,
         "op10_quality_cascade": op10_quality_cascade,
     }
