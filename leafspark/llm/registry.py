@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafspark.llm import hash_search, kd_shards, packing, pu_quality, quality_rules, soft_mixing, store, token_file
+from leafspark.llm import hash_search, kd_shards, near_dedup, packing, pu_quality, quality_rules, soft_mixing, store, token_file
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +44,11 @@ def op2_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_odd_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    like = near_dedup.Similarity(width=3, percent=85)
+    return near_dedup.grouped(table(spark, sf_dir, "documents"), like)
+
+
 def op4_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return hash_search.search(vectors, vectors.filter(F.col("vec_id") % 20 == 0), k=20)
@@ -96,6 +101,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_pu_quality": op1_pu_quality,
         "op2_nnls_packing": op2_nnls_packing,
+        "op3_odd_sketch_dedup": op3_odd_sketch_dedup,
         "op4_multi_index_hashing": op4_multi_index_hashing,
         "op6_kd_shards": op6_kd_shards,
         "op8_soft_mixing": op8_soft_mixing,
