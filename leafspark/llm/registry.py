@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafspark.llm import hash_search, kd_shards, near_dedup, packing, pu_quality, quality_rules, soft_mixing, store, token_file
+from leafspark.llm import hash_search, kd_shards, near_dedup, packing, pii, pu_quality, quality_rules, soft_mixing, store, token_file
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,6 +54,17 @@ def op4_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_search.search(vectors, vectors.filter(F.col("vec_id") % 20 == 0), k=20)
 
 
+def op5_pii_boosted_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.detected(table(spark, sf_dir, "documents"))
+    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
+    return found.select(
+        "doc_id",
+        *[count(k).alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)],
+        F.sha2(pii.written(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        pii.written(F.col("spans")).alias("spans"),
+    )
+
+
 def op6_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kd_shards.placed(table(spark, sf_dir, "documents"), shards=40).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -103,6 +114,7 @@ def queries() -> dict[str, Query]:
         "op2_nnls_packing": op2_nnls_packing,
         "op3_odd_sketch_dedup": op3_odd_sketch_dedup,
         "op4_multi_index_hashing": op4_multi_index_hashing,
+        "op5_pii_boosted_spans": op5_pii_boosted_spans,
         "op6_kd_shards": op6_kd_shards,
         "op8_soft_mixing": op8_soft_mixing,
         "op9_addressable_tokens": op9_addressable_tokens,
