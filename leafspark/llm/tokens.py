@@ -11,6 +11,7 @@ full, which bounds a worker's memory.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 from collections.abc import Iterable, Iterator
@@ -18,7 +19,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 1_500_000
 BATCH = 4096
 TEXTS = 128
 LINE, BARE = "\n", "\x01"
@@ -146,6 +147,7 @@ class Encoder:
 def encoder(path: str, cut: str) -> Encoder:
     """One encoder a Python worker, whose cache outlives the task."""
     if (path, cut) not in _ENCODERS:
+        gc.set_threshold(100_000, 20, 100)  # words and ids make no cycles
         _ENCODERS[path, cut] = Encoder(path, cut)
     return _ENCODERS[path, cut]
 
