@@ -1,18 +1,52 @@
-"""The corpus pipeline: stages over documents, each written and read again."""
+"""The corpus pipeline: documents to packed token sequences, in five stages, each written and read again.
+
+Every stage takes all rows that its predecessor kept. The first four return the columns of documents: quality
+rules drop rows, near-duplicates leave one row a group, personal data is replaced in the text, and mixing
+drops or repeats rows. The last returns the pieces of packed sequences.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from leafspark.llm import near_dedup, packing, pii, quality_rules, registry, soft_mixing, store
 
-from leafspark.llm import quality_rules, store
+#: Share of tokens that each domain of the labelled table shall have. What is scarcest sets the scale, so the
+#: good domain keeps its tokens and the toxic one shrinks.
+MIX = {"good": 0.99, "toxic": 0.01}
+#: Rates this near to a whole number are that number: nearly certain documents are not put to the draw.
+SLACK = 0.2
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.cascade(docs)
 
 
-STAGES = [("quality", quality)]
+def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return near_dedup.deduplicated(docs, near_dedup.Similarity(width=5, percent=80))
+
+
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pii.redacted(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    labels = registry.labelled_domains(registry.table(spark, sf_dir, "labels")).filter(F.col("domain").isin(list(MIX)))
+    model = soft_mixing.train(docs, labels, list(MIX))
+    members = soft_mixing.memberships(docs, model)
+    fit = soft_mixing.fit_rates(members, list(MIX.values()), keep="scarcest")
+    return soft_mixing.mixed(docs, model, fit, slack=SLACK)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    tokens = packing.tokenized(docs, registry.tokenizer("word_bpe_49k.json"), "dropped", end_id=2)
+    return packing.pack(tokens).sequences()
+
+
+STAGES = [("quality", quality), ("near_dedup", dedup), ("pii", redact), ("mixing", mix), ("packing", pack)]
 
+#: MinHash, boosted trees, a trained classifier and a tokenizer are not SQL: tests compare with brute force.
 ORACLE_SQL = None
 
 

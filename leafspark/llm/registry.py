@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafspark.llm import hash_search, kd_shards, near_dedup, packing, pii, pu_quality, quality_rules, soft_mixing, store, token_file
+from leafspark.llm import hash_search, kd_shards, near_dedup, packing, pii, pu_quality, quality_rules, repeats, soft_mixing, store, token_file
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,6 +72,10 @@ def op6_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_interval_tree_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digests(repeats.removed(table(spark, sf_dir, "documents"), length=50))
+
+
 #: Domains of the labelled table, and the share of tokens that each shall have.
 MIX = {"good": 0.97, "poor": 0.02, "toxic": 0.01}
 
@@ -116,6 +120,7 @@ def queries() -> dict[str, Query]:
         "op4_multi_index_hashing": op4_multi_index_hashing,
         "op5_pii_boosted_spans": op5_pii_boosted_spans,
         "op6_kd_shards": op6_kd_shards,
+        "op7_interval_tree_dedup": op7_interval_tree_dedup,
         "op8_soft_mixing": op8_soft_mixing,
         "op9_addressable_tokens": op9_addressable_tokens,
         "op10_quality_cascade": op10_quality_cascade,

@@ -183,10 +183,10 @@ def fit_rates(table: DataFrame, weights: list[float], keep: str = "total", round
     return Fit(targets, totals, steps)
 
 
-def copies_of(rate: Column, key: Column) -> Column:
-    """Whole part of the rate, and one more with the chance of the rest."""
+def copies_of(rate: Column, key: Column, slack: float = 0.0) -> Column:
+    """Whole part of the rate, and one more with the chance of the rest; within slack of a whole number, that."""
     draw = F.pmod(F.xxhash64(key, F.lit("copies")), F.lit(1 << 30)) / float(1 << 30)
-    near = F.round(rate, 9)
+    near = F.when(F.abs(rate - F.round(rate)) <= slack, F.round(rate)).otherwise(F.round(rate, 9))
     return (F.floor(near) + (draw < near - F.floor(near)).cast("long")).cast("int")
 
 
@@ -197,7 +197,7 @@ def rated(table: DataFrame, fit: Fit) -> DataFrame:
     return out.withColumn("copies", copies_of(F.col("rate"), F.col("doc_id")))
 
 
-def mixed(docs: DataFrame, model: Classifier, fit: Fit, key: str = "doc_id", text: str = "text") -> DataFrame:
+def mixed(docs: DataFrame, model: Classifier, fit: Fit, key: str = "doc_id", text: str = "text", slack: float = 0.0) -> DataFrame:
     """The rows of docs, each as often as its copies, decided where the text is read."""
 
     def copies(texts: pd.Series) -> pd.Series:
@@ -208,6 +208,6 @@ def mixed(docs: DataFrame, model: Classifier, fit: Fit, key: str = "doc_id", tex
         return pd.Series(r)
 
     rate = F.pandas_udf(copies, "double")(F.col(text))
-    number = copies_of(rate, F.col(key).cast("long"))
+    number = copies_of(rate, F.col(key).cast("long"), slack)
     boxed = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), number.alias("copies"))
     return boxed.filter("copies > 0").select(F.explode(F.array_repeat("row", F.col("copies"))).alias("row")).select("row.*")

@@ -6,6 +6,7 @@ plan, so that later joins may split skewed partitions.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -42,3 +43,9 @@ def drop_path(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete shuffle files of plans that nothing refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
