@@ -81,7 +81,7 @@ class MinHash:
         s = samples.astype(U).reshape(BANDS, self.rows)
         h = self.band.copy()
         for k in range(self.rows):
-            h = mix(h ^ (s[:, k] + U(0x9E3779B97F4A7C15) * U(k + 1)))
+            h = mix(h ^ (s[:, k] + U(0x9E3779B97F4A7C15 * (k + 1) & 0xFFFFFFFFFFFFFFFF)))
         return h.view(np.int64)
 
     def sketch(self, samples: np.ndarray) -> np.ndarray:

@@ -6,8 +6,8 @@ and their targets, starting from rate 1: projected gradient, with steps scaled b
 second moments. A step needs only as many sums as there are domains, over all documents; a document's rate
 is refolded from the list of the steps so far, so no state is kept a document.
 
-Targets keep the total where they can: the domain that is scarcest against its target sets the scale with
-``keep="scarcest"`` at its present total, or ``keep="total"`` the sum of all tokens.
+Targets sum to all present tokens (``keep="total"``), or are scaled so that the domain which is scarcest
+against its share keeps its present tokens and the others shrink (``keep="scarcest"``).
 
 A rate becomes copies: its whole part, and one more where a hash of the id falls below the rest.
 
@@ -167,7 +167,7 @@ def fit_rates(table: DataFrame, weights: list[float], keep: str = "total", round
     if keep not in ("total", "scarcest"):
         raise ValueError("keep is total or scarcest")
     wanted = share > 0
-    total = now.sum() if keep == "total" else (now[wanted] / share[wanted]).max()
+    total = now.sum() if keep == "total" else (now[wanted] / share[wanted]).min()
     targets, totals, steps = share * total, now, []
     inverse = np.linalg.pinv(shape + 1e-9 * max(np.trace(shape), 1e-9) * np.eye(k))
     for _ in range(rounds):
