@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from leafspark.plans import queries as tables
 
-from pyspark.sql import DataFrame, SparkSession
-
-Query = Callable[[SparkSession, str], DataFrame]
+Query = tables.Query
 
 
 def queries() -> dict[str, Query]:
-    return {}
+    return dict(tables.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(tables.ORACLES)
