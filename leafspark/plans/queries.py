@@ -290,11 +290,11 @@ def previous_checkpoint(spark: SparkSession, sf: str) -> DataFrame:
 WITH r AS (SELECT l_suppkey, l_extendedprice p, l_quantity w FROM lineitem),
 l AS (SELECT *, CASE WHEN p - lag(p) OVER (PARTITION BY l_suppkey ORDER BY p, w) <= 200 THEN 0 ELSE 1 END f FROM r),
 c AS (SELECT *, sum(f) OVER (PARTITION BY l_suppkey ORDER BY p, w ROWS UNBOUNDED PRECEDING) c FROM l)
-SELECT l_suppkey, c::BIGINT AS cluster, count(*) AS n, round(sum(w), 2) AS weight, round(sum(p * w) / sum(w), 1) AS position
+SELECT l_suppkey, c::BIGINT AS cluster, count(*) AS n, round(sum(w), 2) AS weight, round(sum(p * w), 2) AS moment
 FROM c GROUP BY ALL HAVING sum(w) >= 30""")
 def gap_cluster_borders(spark: SparkSession, sf: str) -> DataFrame:
     out = sequences.gap_clusters(table(spark, sf, "lineitem").select("l_suppkey", "l_extendedprice", "l_quantity"), ["l_suppkey"], "l_extendedprice", "l_quantity", 200)
-    return out.filter("weight >= 30").select("l_suppkey", "cluster", "n", F.round("weight", 2).alias("weight"), F.round("position", 1).alias("position"))
+    return out.filter("weight >= 30").select("l_suppkey", "cluster", "n", F.round("weight", 2).alias("weight"), F.round(F.col("position") * F.col("weight"), 2).alias("moment"))
 
 
 @query()
