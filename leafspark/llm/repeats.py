@@ -35,10 +35,10 @@ from leafspark.llm import store
 from leafspark.llm.shingles import U, mix
 
 GRAM = 16
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
 FLUSH_ANCHORS = 1 << 19
-FLUSH_CONTEXTS = 1 << 15
-BUCKET_BYTES = 12 << 20
+FLUSH_CONTEXTS = 1 << 14
+BUCKET_BYTES = 4 << 20
 MANY = 0xFFFFFFFF
 
 
@@ -280,19 +280,21 @@ def sorted_suffixes(ctx: np.ndarray, row: np.ndarray, at: np.ndarray, length: in
 
     Compared are up to 8 * ceil(length / 8) bytes, as far as a context goes.
     """
-    words = -(-length // 8)
-    wide = np.pad(ctx, ((0, 0), (0, 8 * words)))
-    parts = wide[row[:, None], at[:, None] + np.arange(8 * words)[None, :]]
-    keys = np.ascontiguousarray(parts).view(">u8").astype(U)
-    order = np.lexsort(keys.T[::-1])
-    k = keys[order]
-    differ = k[1:] ^ k[:-1]
-    word = np.argmax(differ != 0, axis=1)
-    value = differ[np.arange(len(differ)), word] if len(differ) else np.zeros(0, U)
-    zero = np.full(len(value), 64, dtype=np.int64)
-    some = value != 0
-    zero[some] = 63 - np.floor(np.log2(value[some].astype(np.longdouble))).astype(np.int64)
-    lcp = np.where(some, 8 * word + zero // 8, 8 * words)
+    count = -(-length // 8)
+    wide = np.pad(ctx, ((0, 0), (0, 8 * count)))
+    view = np.lib.stride_tricks.sliding_window_view(wide, 8, axis=1)
+    words = [view[row, at + 8 * j].view(">u8").ravel().astype(U) for j in range(count)]
+    order = np.lexsort(words[::-1])
+    lcp = np.full(max(len(row) - 1, 0), 8 * count, dtype=np.int64)
+    open_ = np.ones(len(lcp), dtype=bool)
+    for j in range(count):
+        w = words[j][order]
+        words[j] = w[:0]
+        differ = w[1:] ^ w[:-1]
+        here = open_ & (differ != 0)
+        zeros = 63 - np.floor(np.log2(differ[here].astype(np.longdouble))).astype(np.int64)
+        lcp[here] = 8 * j + zeros // 8
+        open_ &= ~here
     left = ctx.shape[1] - at[order]
     lcp = np.minimum(lcp, np.minimum(left[1:], left[:-1]))
     return order, np.concatenate([[0], lcp])
