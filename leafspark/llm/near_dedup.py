@@ -130,7 +130,7 @@ def signatures(rows: DataFrame, like: Similarity) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(cols, schema=schema)
 
     made = rows.mapInArrow(run, "doc_id long, n_shingles long, f1 long, f2 long, bands array<long>, sketch array<long>")
-    return store.cut(made, "signatures", codec="snappy")
+    return store.cut(made, "signatures")
 
 
 def _full_sets(rows: DataFrame, like: Similarity) -> DataFrame:
@@ -177,10 +177,10 @@ class _Linker:
             return False
         nodes = pairs.select(F.col("a").alias("k")).unionByName(pairs.select(F.col("b").alias("k"))).distinct()
         own = self.rows.join(store.cut(nodes, "asked"), "k", "left_semi")
-        sets = store.cut(_full_sets(own, self.like), "sets", codec="snappy")
+        sets = store.cut(_full_sets(own, self.like), "sets")
         if sets.count() > nodes.count():  # repeated rows
             one = sets.groupBy("node", F.xxhash64("s").alias("h")).agg(F.first("s").alias("s"))
-            sets = store.cut(one.select("node", "s"), "sets", codec="snappy")
+            sets = store.cut(one.select("node", "s"), "sets")
         left = pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("x")), "a")
         both = left.join(sets.select(F.col("node").alias("b"), F.col("s").alias("y")), "b")
         inter = F.size(F.array_intersect("x", "y")).cast("long")
@@ -204,7 +204,7 @@ def grouped(docs: DataFrame, like: Similarity = Similarity(), key: str = "doc_id
             F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles"),
             F.first("bands").alias("bands"), F.first("sketch").alias("sketch"),
         ),
-        "classes", codec="snappy",
+        "classes",
     )
     banded = classes.select("node", F.explode("bands").alias("key"))
     shared = banded.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
@@ -230,7 +230,7 @@ def grouped(docs: DataFrame, like: Similarity = Similarity(), key: str = "doc_id
             break
     if not left.isEmpty():
         full = left.join(classes.select("node", "n_shingles", "sketch"), "node")
-        full = store.cut(full, "members", codec="snappy")
+        full = store.cut(full, "members")
         x, y = full.alias("x"), full.alias("y")
         apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label"))
         pairs = x.join(y, apart & linker.near("x", "y")).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))

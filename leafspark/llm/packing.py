@@ -56,7 +56,7 @@ def tokenized(
             yield batch()
 
     rows = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"))
-    return store.cut(rows.mapInArrow(run, TOKENS), "tokens")
+    return store.cut(rows.mapInArrow(run, TOKENS), "tokens", codec="zstd")
 
 
 def patterns(bins: int, depth: int) -> np.ndarray:

@@ -65,7 +65,7 @@ def featured(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
             yield pa.RecordBatch.from_arrays([b.column("k"), pa.array(made, pa.binary())], names=["doc_id", "x"])
 
     rows = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"))
-    return store.cut(rows.mapInArrow(run, "doc_id long, x binary"), "features", codec="snappy")
+    return store.cut(rows.mapInArrow(run, "doc_id long, x binary"), "features")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -159,7 +159,7 @@ def calibrate(f: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def fit(table: DataFrame, labels: DataFrame, sample_rows: int = 20_000) -> Model:
     """labels: doc_id and quality of trusted training rows; sample_rows bounds what the curve is fitted on."""
     known = labels.filter(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    trusted = store.cut(table.join(known, "doc_id").select("doc_id", "x", "quality"), "trusted", codec="snappy")
+    trusted = store.cut(table.join(known, "doc_id").select("doc_id", "x", "quality"), "trusted")
     positives = trusted.filter("quality = 1")
     pos, all_ = moments(positives), moments(table)
     if not pos.n:

@@ -9,6 +9,8 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,11 +29,24 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/leafspark/{name}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 512) -> Iterator[None]:
+    """Texts go to Python workers a few at a time: Arrow batches live outside the heap, in both processes."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def cut(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write df once and go on from the written table."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.option("compression", codec).parquet(path)
+    with small_batches(spark):
+        df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
