@@ -4,8 +4,8 @@ With f(x) = w.x and the squared loss, the risk pi * Rp(+) + max(0, Ru(-) - pi *
 only through first and second moments of the features over the trusted positives and over all text. One pass
 sums those, over every document, into a matrix whose size is the number of features; the driver then
 descends the exact risk, taking the step that raises the negative part wherever that has gone below zero.
-The class prior is the least ratio of the unlabelled to the positive share above a score (read from
-histograms of all scores), and the scorer is fitted again with it.
+The class prior is the ratio of the unlabelled to the positive share above a score, where that ratio's
+upper bound is least (read from histograms of all scores), and the scorer is fitted again with it.
 
 A logistic curve, fitted on a bounded sample of labelled training rows, maps f to a probability.
 
@@ -98,9 +98,9 @@ def _squared(m: Moments, w: np.ndarray, sign: int) -> tuple[float, np.ndarray]:
     return (1 - 2 * sign * m.first @ w + w @ mw) / 4, (mw - sign * m.first) / 2
 
 
-def fit_weights(pos: Moments, all_: Moments, prior: float, ridge: float = 1e-4, steps: int = 3000) -> np.ndarray:
+def fit_weights(pos: Moments, all_: Moments, prior: float, ridge: float = 5e-3, steps: int = 3000) -> np.ndarray:
     """Weights of least non-negative risk, from a preconditioned descent."""
-    shape = np.linalg.inv(all_.second + pos.second + 1e-3 * np.eye(DIM))
+    shape = np.linalg.inv(all_.second + pos.second + (1e-3 + 2 * ridge) * np.eye(DIM))
     w = np.zeros(DIM)
     for _ in range(steps):
         _, positive = _squared(pos, w, 1)
@@ -131,12 +131,16 @@ def _histogram(table: DataFrame, w: np.ndarray) -> np.ndarray:
     return out
 
 
-def prior_of(pos: np.ndarray, all_: np.ndarray, least_share: float = 0.2) -> float:
-    """Least ratio of shares above a score, where enough positives are above it to tell."""
+def prior_of(pos: np.ndarray, all_: np.ndarray, doubt: float = 0.1) -> float:
+    """Ratio of shares above the score where its upper bound, at that much doubt, is least."""
     up = lambda h: np.cumsum(h[::-1])[::-1] / max(h.sum(), 1)
     p, u = up(pos), up(all_)
-    ok = p >= least_share
-    return float(np.clip((u[ok] / p[ok]).min(), 0.05, 0.99)) if ok.any() else 0.5
+    slack = sum(np.sqrt(np.log(4 / doubt) / (2 * max(h.sum(), 1))) for h in (pos, all_))
+    ok = p > slack
+    if not ok.any():
+        return 0.5
+    best = np.argmin(np.where(ok, (u + slack) / np.maximum(p, 1e-12), np.inf))
+    return float(np.clip(u[best] / p[best], 0.05, 0.99))
 
 
 def calibrate(f: np.ndarray, y: np.ndarray) -> tuple[float, float]:
