@@ -37,9 +37,11 @@ from leafspark.llm.shingles import U, mix
 GRAM = 16
 CHUNK_BYTES = 1 << 19
 FLUSH_ANCHORS = 1 << 19
+FLUSH_TEXTS = 60_000
 FLUSH_CONTEXTS = 1 << 14
+KEY_BUCKET_BYTES = 16 << 20
 BUCKET_BYTES = 4 << 20
-MANY = 0xFFFFFFFF
+MANY = 0xFFFF
 
 
 @dataclass
@@ -101,96 +103,97 @@ def _owners(b: pa.RecordBatch) -> np.ndarray:
     return np.column_stack([b.column("t1").to_numpy(), b.column("t2").to_numpy()]).astype(np.int64).reshape(-1, 2)
 
 
-BLOB = "bucket int, keys binary, owner binary, owners binary"
-_BLOB = ["bucket", "keys", "owner", "owners"]
+BLOB = "flush string, bucket int, keys binary, owner binary, owners binary"
+_BLOB = ["flush", "bucket", "keys", "owner", "owners"]
+_BLOB_KINDS = (pa.string(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
 
 
-def _blob_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=_BLOB)
+def _blobs(rows: list[tuple]) -> pa.Table:
+    cols = zip(*rows) if rows else [[] for _ in _BLOB]
+    return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(cols, _BLOB_KINDS)], names=_BLOB)
 
 
-def _pack(bucket: int, keys: np.ndarray, owner: np.ndarray, owners: np.ndarray) -> tuple:
-    """One blob; owner numbers are made dense."""
-    real = owner[owner != MANY]
-    used = np.unique(real)
-    place = np.full(len(owner), MANY, dtype="<u4")
-    place[owner != MANY] = np.searchsorted(used, real)
-    return bucket, keys.tobytes(), place.tobytes(), owners[used].tobytes()
+def _codes(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket and low half of keys: what is compared to tell shared anchors, contexts being exact."""
+    return ((keys >> U(32)) % U(buckets)) << U(32) | keys & U(0xFFFFFFFF)
 
 
 def _key_blobs(batches: Iterable[pa.RecordBatch], length: int, buckets: int) -> Iterator[pa.RecordBatch]:
-    """Blobs of anchor keys, a key once a flush; bucket -1 has keys and owners known to be shared."""
-    keys: list[np.ndarray] = []
+    """Per flush of texts: codes by bucket, each once; below bucket 0 its owners, and codes known to be shared.
+
+    A flush is named by its first text, so a task that runs again gives the same names.
+    """
+    codes: list[np.ndarray] = []
     owner: list[np.ndarray] = []
     owners: list[np.ndarray] = []
     held, texts = 0, 0
 
-    def flush() -> pa.RecordBatch:
-        k, o, ids = np.concatenate(keys), np.concatenate(owner), np.concatenate(owners)
+    def flush() -> Iterator[pa.RecordBatch]:
+        k, o, ids = np.concatenate(codes), np.concatenate(owner), np.concatenate(owners)
         order = np.lexsort((o, k))
         k, o = k[order], o[order]
-        new = np.concatenate([[True], (k[1:] != k[:-1]) | (o[1:] != o[:-1])])  # a key once a text
-        k, o = k[new], o[new]
+        new = np.concatenate([[True], (k[1:] != k[:-1]) | (o[1:] != o[:-1])])  # a code once a text
+        k, o = k[new], o[new].astype("<u2")
         first = np.concatenate([[True], k[1:] != k[:-1]])
         count = np.diff(np.concatenate([np.flatnonzero(first), [len(k)]]))
         shared = np.repeat(count > 1, count)
-        rows = [_pack(-1, k[shared], o[shared], ids)] if shared.any() else []
-        sent, from_ = k[first], np.where(count > 1, MANY, o[first]).astype(np.int64)
-        dealt = ((sent >> U(32)) % U(buckets)).astype(np.int64)
-        order = np.argsort(dealt, kind="stable")
-        cuts = np.searchsorted(dealt[order], np.arange(buckets + 1))
+        name, low = f"{ids[0, 0]}:{ids[0, 1]}", -1 - int(ids[0, 0] % buckets)
+        rows = [(name, low, k[shared].astype("<u8").tobytes(), o[shared].tobytes(), ids.tobytes())]
+        sent, from_ = k[first], np.where(count > 1, MANY, o[first]).astype("<u2")
+        cuts = np.searchsorted(sent >> U(32), np.arange(buckets + 1))
         for bucket in range(buckets):
-            part = order[cuts[bucket] : cuts[bucket + 1]]
-            if len(part):
-                rows.append(_pack(bucket, sent[part].astype("<u8"), from_[part], ids))
-        return _blob_batch(rows)
+            part = slice(cuts[bucket], cuts[bucket + 1])
+            if part.start < part.stop:
+                rows.append((name, bucket, (sent[part] & U(0xFFFFFFFF)).astype("<u4").tobytes(), from_[part].tobytes(), b""))
+        yield from _blobs(rows).to_batches()
 
     for b, raw, ends in _chunks(batches):
         found = anchors(raw, ends, length)
         if len(found.key):
-            keys.append(found.key)
+            codes.append(_codes(found.key, buckets))
             owner.append(found.text + texts)
             owners.append(_owners(b))
             held, texts = held + len(found.key), texts + b.num_rows
-        if held >= FLUSH_ANCHORS:
-            yield flush()
-            keys, owner, owners, held, texts = [], [], [], 0, 0
+        if held >= FLUSH_ANCHORS or texts >= FLUSH_TEXTS:
+            yield from flush()
+            codes, owner, owners, held, texts = [], [], [], 0, 0
     if held:
-        yield flush()
+        yield from flush()
 
 
 def _shared(key: tuple, table: pa.Table) -> pa.Table:
-    """Of a bucket's blobs: per blob, the keys that another blob, or several texts, have too."""
-    keys = [np.frombuffer(v, "<u8") for v in table.column("keys").to_pylist()]
-    owner = [np.frombuffer(v, "<u4") for v in table.column("owner").to_pylist()]
-    every = np.concatenate(keys)
+    """Of a bucket's blobs: per flush, the codes that another flush, or several texts, have too."""
+    bucket = key[0].as_py()
+    if bucket < 0:
+        return table.select(_BLOB)
+    keys = [np.frombuffer(v, "<u4") for v in table.column("keys").to_pylist()]
+    owner = [np.frombuffer(v, "<u2") for v in table.column("owner").to_pylist()]
     twice = np.concatenate([*keys, *[k[o == MANY] for k, o in zip(keys, owner)]])
     values, counts = np.unique(twice, return_counts=True)
     hot = values[counts > 1]
-    is_hot = hot[np.minimum(np.searchsorted(hot, every), len(hot) - 1)] == every if len(hot) else np.zeros(len(every), bool)
-    rows, at = [], 0
-    for k, o, ids in zip(keys, owner, table.column("owners").to_pylist()):
-        mine = is_hot[at : at + len(k)] & (o != MANY)
-        at += len(k)
-        if mine.any():
-            rows.append(_pack(-1, k[mine], o[mine].astype(np.int64), np.frombuffer(ids, "<i8").reshape(-1, 2)))
-    kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
-    cols = zip(*rows) if rows else [[], [], [], []]
-    return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=_BLOB)
+    rows = []
+    for name, k, o in zip(table.column("flush").to_pylist(), keys, owner):
+        mine = o != MANY
+        if len(hot):
+            mine = mine & (hot[np.minimum(np.searchsorted(hot, k), len(hot) - 1)] == k)
+            if mine.any():
+                code = k[mine].astype(U) | U(bucket) << U(32)
+                rows.append((name, -1, code.astype("<u8").tobytes(), o[mine].tobytes(), b""))
+    return _blobs(rows)
 
 
 def _by_owner(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blobs to rows of a text and its keys."""
+    """Shared codes of flushes, with their owners, to rows of a text and its codes."""
     for b in batches:
-        for keys, owner, owners in zip(*(b.column(c).to_pylist() for c in _BLOB[1:])):
-            k, o = np.frombuffer(keys, "<u8"), np.frombuffer(owner, "<u4")
+        for keys, owner, owners in zip(*(b.column(c).to_pylist() for c in ("keys", "owner", "owners"))):
+            k, o = np.frombuffer(keys, "<u8"), np.frombuffer(owner, "<u2")
             ids = np.frombuffer(owners, "<i8").reshape(-1, 2)
             order = np.argsort(o, kind="stable")
-            raw, cuts = k[order].tobytes(), np.searchsorted(o[order], np.arange(len(ids) + 1))
-            made = [raw[8 * x : 8 * y] for x, y in zip(cuts[:-1], cuts[1:])]
+            raw, o = k[order].tobytes(), o[order]
+            used, first = np.unique(o, return_index=True)
+            made = [raw[8 * x : 8 * y] for x, y in zip(first, [*first[1:], len(o)])]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[:, 0]), pa.array(ids[:, 1]), pa.array(made, pa.binary())], names=["t1", "t2", "keys"]
+                [pa.array(ids[used, 0]), pa.array(ids[used, 1]), pa.array(made, pa.binary())], names=["t1", "t2", "keys"]
             )
 
 
@@ -215,8 +218,10 @@ def _rows_of(matrix: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(matrix).view(np.dtype((np.void, matrix.shape[1]))).ravel()
 
 
-def _context_blobs(batches: Iterable[pa.RecordBatch], length: int, buckets: int) -> Iterator[pa.RecordBatch]:
-    """Contexts of shared anchors; bucket -1 has what is settled here: texts and spans that go."""
+def _context_blobs(
+    batches: Iterable[pa.RecordBatch], length: int, key_buckets: int, buckets: int
+) -> Iterator[pa.RecordBatch]:
+    """Contexts of shared anchors; below bucket 0 is what is settled here: texts and spans that go."""
     back = length - GRAM
     held: list[tuple[np.ndarray, ...]] = []
     n = 0
@@ -234,7 +239,7 @@ def _context_blobs(batches: Iterable[pa.RecordBatch], length: int, buckets: int)
         rows = []
         if gone.any():
             base = at[gone] - back
-            rows.append((-1, b"", own[gone].tobytes(), (base + lo[gone]).astype("<i8").tobytes(), b"", b"",
+            rows.append((-1 - int(own[gone][0, 0] % buckets), b"", own[gone].tobytes(), (base + lo[gone]).astype("<i8").tobytes(), b"", b"",
                          (base + hi[gone] + length).astype("<i8").tobytes()))
         # One occurrence of each context goes on, and all of the least document, whose fate is open.
         keep = ~gone
@@ -254,7 +259,7 @@ def _context_blobs(batches: Iterable[pa.RecordBatch], length: int, buckets: int)
         hot = [np.frombuffer(b"".join(v), "<u8") for v in lists]
         key_text = np.repeat(np.arange(len(hot)), [len(h) for h in hot])
         salted = mix(np.concatenate(hot) ^ mix(key_text.astype(U) + U(1))) if len(hot) else np.zeros(0, U)
-        mine = np.isin(mix(found.key ^ mix(found.text.astype(U) + U(1))), salted)
+        mine = np.isin(mix(_codes(found.key, key_buckets) ^ mix(found.text.astype(U) + U(1))), salted)
         if not mine.any():
             continue
         starts = np.concatenate([[0], ends[:-1]])
@@ -330,6 +335,10 @@ def intervals(lcp: np.ndarray, before: np.ndarray, least: int) -> Iterator[tuple
 
 def _settle(key: tuple, table: pa.Table, length: int) -> pa.Table:
     """Spans that go, from a bucket's contexts."""
+    if key[0].as_py() < 0:
+        cols = zip(*(table.column(c).to_pylist() for c in ("owners", "at", "bytes")))
+        own, start, end = (np.frombuffer(b"".join(c), "<i8") for c in zip(*cols))
+        return pa.Table.from_batches([_spans_of(own.reshape(-1, 2), start, end)])
     back = length - GRAM
     joined = {c: b"".join(table.column(c).to_pylist()) for c in _CONTEXTS[1:]}
     doc, at = np.frombuffer(joined["docs"], "<i8"), np.frombuffer(joined["at"], "<i8")
@@ -357,12 +366,6 @@ def _settle(key: tuple, table: pa.Table, length: int) -> pa.Table:
     return pa.Table.from_batches([_spans_of(own[r], base + a, base + z - 1 + length)])
 
 
-def _settled_here(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        for own, start, end in zip(*(b.column(c).to_pylist() for c in ("owners", "at", "bytes"))):
-            yield _spans_of(np.frombuffer(own, "<i8").reshape(-1, 2), np.frombuffer(start, "<i8"), np.frombuffer(end, "<i8"))
-
-
 def merged(spans: np.ndarray) -> np.ndarray:
     """Maximal runs of bytes covered by spans (rows of start and end)."""
     if not len(spans):
@@ -413,6 +416,7 @@ def removed(docs: DataFrame, length: int = 50, key: str = "doc_id", text: str =
     rows = store.cut(named.select("doc_id", *hashes, F.octet_length("text").cast("long").alias("n_bytes")), "rows")
     volume = rows.agg(F.sum("n_bytes")).collect()[0][0] or 0
     width = store.shuffle_width(spark)
+    key_buckets = max(width, -(-volume // KEY_BUCKET_BYTES))
     buckets = max(width, -(-volume // BUCKET_BYTES))
 
     own = named.filter("doc_id is not null").select("doc_id", "text", *hashes)
@@ -423,21 +427,19 @@ def removed(docs: DataFrame, length: int = 50, key: str = "doc_id", text: str =
     store.release(spark)
     texts = spark.table(name)
 
-    blobs = texts.select("t1", "t2", "text").mapInArrow(lambda b: _key_blobs(b, length, buckets), BLOB)
-    blobs = store.cut(blobs, "anchors", codec="lz4")
-    met = blobs.filter("bucket >= 0").groupBy("bucket").applyInArrow(_shared, BLOB)
-    hot = blobs.filter("bucket < 0").unionByName(met).select(*_BLOB).mapInArrow(_by_owner, "t1 long, t2 long, keys binary")
-    hot = store.cut(hot, "shared", codec="lz4")
-    del blobs, met
+    blobs = texts.select("t1", "t2", "text").mapInArrow(lambda b: _key_blobs(b, length, key_buckets), BLOB)
+    met = store.cut(blobs.groupBy("bucket").applyInArrow(_shared, BLOB), "shared")
+    names = met.filter(F.length("owners") > 0).select("flush", "owners")
+    told = met.filter(F.length("keys") > 0).select("flush", "keys", "owner").join(names, "flush")
+    hot = store.cut(told.mapInArrow(_by_owner, "t1 long, t2 long, keys binary"), "shared")
+    del blobs
     store.release(spark)
 
     asked = hot.groupBy("t1", "t2").agg(F.collect_list("keys").alias("hot"))
     near = texts.join(asked.hint("merge"), ["t1", "t2"]).select("t1", "t2", "doc", "text", "hot")
-    contexts = store.cut(near.mapInArrow(lambda b: _context_blobs(b, length, buckets), CONTEXTS), "contexts")
-    met = contexts.filter("bucket >= 0").groupBy("bucket").applyInArrow(lambda k, t: _settle(k, t, length), SPANS)
-    spans = contexts.filter("bucket < 0").mapInArrow(_settled_here, SPANS).unionByName(met)
-    spans = store.cut(spans, "spans")
-    del near, asked, met, contexts
+    contexts = near.mapInArrow(lambda b: _context_blobs(b, length, key_buckets, buckets), CONTEXTS)
+    spans = store.cut(contexts.groupBy("bucket").applyInArrow(lambda k, t: _settle(k, t, length), SPANS), "spans")
+    del near, asked, contexts
     store.release(spark)
 
     found = spans.groupBy("t1", "t2").agg(F.collect_list("spans").alias("found"))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -62,5 +63,7 @@ def drop_path(spark: SparkSession, path: str) -> None:
 
 def release(spark: SparkSession) -> None:
     """Let Spark delete shuffle files of plans that nothing refers to any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # what the first round drops in Python is dropped in the JVM by the second
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
