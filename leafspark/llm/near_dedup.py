@@ -8,7 +8,9 @@
    with each other. Candidates whose sketches tell a similarity far below the threshold go; the rest are
    checked on full sets, in integers.
 4. Links found are contracted to components; members of a bucket that still lie in different components are
-   compared with the bucket's next member, and after ``STARS`` such rounds with each other, sketches first.
+   compared with the bucket's next member, and after ``STARS`` such rounds with each other: in small buckets
+   as pairs, sketches first; larger ones are cut into blocks, each two of which meet in a task that
+   intersects full sets as bitmaps and gives links alone, so pairs are never written out.
    Pairs inside a component need no check: it could not change the components.
 
 Band sizes are chosen so that a pair at the threshold misses all buckets with a chance under 1e-5, and the
@@ -37,6 +39,8 @@ BANDS = 32
 SKETCH_BITS = 512
 SKETCH_MARGIN = 0.15
 STARS = 3
+SMALL_BUCKET = 24
+BLOCK = 256
 
 
 @dataclass(frozen=True)
@@ -151,6 +155,32 @@ def _far(x: Column, y: Column) -> Column:
     return sum((F.bit_count(F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i)))) for i in range(SKETCH_BITS // 64)), F.lit(0))
 
 
+def _block_links(table: pa.Table, percent: int) -> pa.Table:
+    """Links between rows of different labels and, where blocks differ, of different blocks."""
+    node, label, side = (table.column(c).to_numpy() for c in ("node", "label", "side"))
+    sets = table.column("s").combine_chunks()
+    sizes = np.diff(sets.offsets.to_numpy())
+    row = np.repeat(np.arange(len(node)), sizes)
+    _, place, counts = np.unique(sets.flatten().to_numpy(), return_inverse=True, return_counts=True)
+    common = counts > 1
+    dense = np.cumsum(common) - 1
+    keep = common[place]
+    bits = np.zeros((len(node), -(-max(int(common.sum()), 1) // 64) * 64), dtype=bool)
+    bits[row[keep], dense[place[keep]]] = True
+    words = np.packbits(bits, axis=1).view("<u8")
+    a, b = [], []
+    two = side.min() != side.max()
+    for i in range(len(node)):
+        other = np.flatnonzero((label != label[i]) & ((side > side[i]) if two else (node > node[i])))
+        if len(other):
+            inter = np.bitwise_count(words[other] & words[i]).sum(axis=1, dtype=np.int64)
+            hit = other[100 * inter >= percent * (sizes[other] + sizes[i] - inter)]
+            a.append(np.full(len(hit), node[i]))
+            b.append(node[hit])
+    none = [np.zeros(0, np.int64)]
+    return pa.table({"a": np.concatenate(a or none), "b": np.concatenate(b or none)})
+
+
 class _Linker:
     """Checks candidate pairs of classes and keeps the links."""
 
@@ -171,24 +201,47 @@ class _Linker:
         out = pairs.join(c.alias("x"), F.col("a") == F.col("x.node")).join(c.alias("y"), F.col("b") == F.col("y.node"))
         return out.filter(self.near("x", "y")).select("a", "b")
 
-    def check(self, pairs: DataFrame) -> bool:
-        """Confirm written pairs on full sets; whether any was linked."""
-        if pairs.isEmpty():
-            return False
-        nodes = pairs.select(F.col("a").alias("k")).unionByName(pairs.select(F.col("b").alias("k"))).distinct()
+    def sets(self, nodes: DataFrame) -> DataFrame:
+        """node and s, the full shingle set, of nodes (a column k)."""
+        nodes = nodes.distinct()
         own = self.rows.join(store.cut(nodes, "asked"), "k", "left_semi")
         sets = store.cut(_full_sets(own, self.like), "sets")
         if sets.count() > nodes.count():  # repeated rows
             one = sets.groupBy("node", F.xxhash64("s").alias("h")).agg(F.first("s").alias("s"))
             sets = store.cut(one.select("node", "s"), "sets")
+        return sets
+
+    def keep(self, links: DataFrame) -> None:
+        links = store.cut(links, "links")
+        self.links = links if self.links is None else self.links.unionByName(links)
+
+    def check(self, pairs: DataFrame) -> None:
+        """Confirm written pairs on full sets."""
+        if pairs.isEmpty():
+            return
+        sets = self.sets(pairs.select(F.col("a").alias("k")).unionByName(pairs.select(F.col("b").alias("k"))))
         left = pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("x")), "a")
         both = left.join(sets.select(F.col("node").alias("b"), F.col("s").alias("y")), "b")
         inter = F.size(F.array_intersect("x", "y")).cast("long")
         made = both.select("a", "b", inter.alias("i"), (F.size("x") + F.size("y")).cast("long").alias("n"))
-        linked = made.filter(100 * F.col("i") >= self.like.percent * (F.col("n") - F.col("i"))).select("a", "b")
-        linked = store.cut(linked, "links")
-        self.links = linked if self.links is None else self.links.unionByName(linked)
-        return not linked.isEmpty()
+        self.keep(made.filter(100 * F.col("i") >= self.like.percent * (F.col("n") - F.col("i"))).select("a", "b"))
+
+    def check_blocks(self, members: DataFrame, sizes: DataFrame) -> None:
+        """Find all links between labels in buckets (key, node, label) of sizes (key, n)."""
+        if members.isEmpty():
+            return
+        sets = self.sets(members.select(F.col("node").alias("k")))
+        blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+        own = members.join(sizes, "key").select(
+            "key", "node", "label", blocks.alias("blocks"), F.pmod(F.xxhash64("node"), blocks.cast("long")).cast("int").alias("own")
+        )
+        other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+        dealt = own.select("key", "node", "label", "own", other).select(
+            "key", "node", "label", F.col("own").alias("side"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
+        )
+        met = dealt.join(sets, "node").groupBy("key", "i", "j")
+        percent = self.like.percent
+        self.keep(met.applyInArrow(lambda t: _block_links(t, percent), "a long, b long").distinct())
 
     def labels(self) -> DataFrame | None:
         return None if self.links is None else components(self.links)
@@ -229,12 +282,15 @@ def grouped(docs: DataFrame, like: Similarity = Similarity(), key: str = "doc_id
         if left.isEmpty():
             break
     if not left.isEmpty():
-        full = left.join(classes.select("node", "n_shingles", "sketch"), "node")
-        full = store.cut(full, "members")
+        sizes = store.cut(left.groupBy("key").agg(F.count("*").alias("n")), "sizes")
+        few = left.join(sizes.filter(F.col("n") <= SMALL_BUCKET), "key", "left_semi")
+        full = store.cut(few.join(classes.select("node", "n_shingles", "sketch"), "node"), "members")
         x, y = full.alias("x"), full.alias("y")
         apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label"))
         pairs = x.join(y, apart & linker.near("x", "y")).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
         linker.check(store.cut(pairs.distinct(), "near"))
+        large = sizes.filter(F.col("n") > SMALL_BUCKET)
+        linker.check_blocks(store.cut(left.join(large, "key", "left_semi"), "members"), large)
     labels = linker.labels()
 
     out = some.select("doc_id", "n_shingles", "f1", "f2").join(classes.select("f1", "f2", "node"), ["f1", "f2"])
