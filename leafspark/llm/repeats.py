@@ -182,19 +182,16 @@ def _shared(key: tuple, table: pa.Table) -> pa.Table:
     return _blobs(rows)
 
 
-def _by_owner(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shared codes of flushes, with their owners, to rows of a text and its codes."""
-    for b in batches:
-        for keys, owner, owners in zip(*(b.column(c).to_pylist() for c in ("keys", "owner", "owners"))):
-            k, o = np.frombuffer(keys, "<u8"), np.frombuffer(owner, "<u2")
-            ids = np.frombuffer(owners, "<i8").reshape(-1, 2)
-            order = np.argsort(o, kind="stable")
-            raw, o = k[order].tobytes(), o[order]
-            used, first = np.unique(o, return_index=True)
-            made = [raw[8 * x : 8 * y] for x, y in zip(first, [*first[1:], len(o)])]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[used, 0]), pa.array(ids[used, 1]), pa.array(made, pa.binary())], names=["t1", "t2", "keys"]
-            )
+def _by_owner(table: pa.Table) -> pa.Table:
+    """A flush's shared codes as rows of a text and its codes."""
+    keys, owner, owners = (b"".join(table.column(c).to_pylist()) for c in ("keys", "owner", "owners"))
+    k, o, ids = np.frombuffer(keys, "<u8"), np.frombuffer(owner, "<u2"), np.frombuffer(owners, "<i8").reshape(-1, 2)
+    order = np.argsort(o, kind="stable")
+    raw, o = k[order].tobytes(), o[order]
+    used, first = np.unique(o, return_index=True)
+    made = [raw[8 * x : 8 * y] for x, y in zip(first, [*first[1:], len(o)])]
+    cols = [pa.array(ids[used, 0]), pa.array(ids[used, 1]), pa.array(made, pa.binary())]
+    return pa.Table.from_arrays(cols, names=["t1", "t2", "keys"])
 
 
 CONTEXTS = "bucket int, docs binary, owners binary, at binary, lo binary, hi binary, bytes binary"
@@ -429,9 +426,7 @@ def removed(docs: DataFrame, length: int = 50, key: str = "doc_id", text: str =
 
     blobs = texts.select("t1", "t2", "text").mapInArrow(lambda b: _key_blobs(b, length, key_buckets), BLOB)
     met = store.cut(blobs.groupBy("bucket").applyInArrow(_shared, BLOB), "shared")
-    names = met.filter(F.length("owners") > 0).select("flush", "owners")
-    told = met.filter(F.length("keys") > 0).select("flush", "keys", "owner").join(names, "flush")
-    hot = store.cut(told.mapInArrow(_by_owner, "t1 long, t2 long, keys binary"), "shared")
+    hot = store.cut(met.groupBy("flush").applyInArrow(_by_owner, "t1 long, t2 long, keys binary"), "shared")
     del blobs
     store.release(spark)
 
