@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafspark.llm import hash_search, kd_shards, near_dedup, packing, pii, pu_quality, quality_rules, repeats, soft_mixing, store, token_file
+from leafspark.llm import hash_search, kd_shards, near_dedup, oracles, packing, pii, pu_quality, quality_rules, repeats, soft_mixing, store, token_file
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -128,4 +128,5 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The others learn models, tokenize, search approximately or are far too slow in SQL: tests compare them."""
+    return {"op3_odd_sketch_dedup": oracles.NEAR_DEDUP, "op10_quality_cascade": oracles.QUALITY_RULES}
