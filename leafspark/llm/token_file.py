@@ -116,7 +116,9 @@ class Segment:
         for chunks, bits, _ in reversed(self.levels):
             value = chunks.astype(np.uint32)
             if out is not None:
-                value[np.unpackbits(bits, count=len(chunks), bitorder="little").astype(bool)] += out << 8
+                high = np.zeros(len(chunks), dtype=np.uint32)
+                high[np.unpackbits(bits, count=len(chunks), bitorder="little").view(bool)] = out
+                value |= high << 8
             out = value
         return out if out is not None else np.zeros(0, np.uint32)
 

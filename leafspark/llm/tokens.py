@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import gc
 import os
-import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -23,17 +22,9 @@ CACHE_WORDS = 1_500_000
 BATCH = 4096
 TEXTS = 128
 LINE, BARE = "\n", "\x01"
-_RUNS = re.compile(r"[^\w\n][.,]|_[.,]")
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
 
 
-def _runs(text: str) -> bool:
-    """Whether a full stop or comma may belong to a longer run of punctuation."""
-    if text.replace(" ", "").replace("\n", "").replace(".", "").replace(",", "").replace(BARE, "").isalnum():
-        return any(pair in text for pair in ("..", ",.", ".,", ",,", " .", " ,"))
-    return bool(_RUNS.search(text))
-
-
 class Encoder:
     """encode(text) gives the ids as little-endian unsigned 32-bit integers."""
 
@@ -49,6 +40,7 @@ class Encoder:
         self.mark = "\n" if self.glued else " | "
         (self.mark_id,) = self.tokenizer.encode(self.mark, add_special_tokens=False).ids
         self.line_end = np.asarray([self.mark_id], dtype="<u4").tobytes()
+        self.ends = {c: self.whole(c) for c in ".,"}
         self.known: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
@@ -72,41 +64,41 @@ class Encoder:
     def _learn(self, units: set[str]) -> bool:
         """Units into the cache; false where one of them can't be cut out of its text.
 
-        A unit is what a space precedes; after LINE it opens a line, after BARE nothing precedes it.
+        A unit is what a space precedes; after LINE it opens a line, after BARE nothing precedes it. A full
+        stop or comma after a letter or digit is a piece of its own, so such units are their word's ids and its.
         """
-        if len(self.known) + len(units) > CACHE_WORDS:
-            self.known.clear()
-        words = {u: u[1:] if u[:1] in (LINE, BARE) else u for u in units}
+        known = self.known
+        if len(known) + 2 * len(units) > CACHE_WORDS:
+            known.clear()
+        ended = {u: u[:-1] for u in units if u[-1:] in (".", ",") and u[-2:-1].isalnum()}
+        new = [u for u in (units - ended.keys()) | set(ended.values()) if u not in known]
+        words = [u[1:] if self.glued and u[:1] in (LINE, BARE) else u for u in new]
         if not self.glued:
-            odd = [u for u in units if "|" in u]
-            self.known.update((u, self.whole(words[u])) for u in odd)
-            plain = [u for u in units if "|" not in u]
-            self.known.update(zip(plain, self._many([words[u] for u in plain])))
-            return True
-        if not all(w.split() == [w] or (not w and u) for u, w in words.items()):
-            return False
-        inner = [u for u, w in words.items() if u is w]
-        self.known.update(zip(inner, self._many([" " + u for u in inner])))
-        outer = [u for u, w in words.items() if u is not w and w]
-        for u, ids in zip(outer, self._many([words[u] for u in outer])):
-            self.known[u] = self.line_end + ids if u[0] == LINE else ids
-        if LINE in units or BARE in units:
-            self.known |= {LINE: self.line_end, BARE: b""}
+            for u, w in zip(new, words):
+                if "|" in w:
+                    known[u] = self.whole(w)
+            plain = [(u, w) for u, w in zip(new, words) if "|" not in w]
+            known.update(zip([u for u, _ in plain], self._many([w for _, w in plain])))
+        else:
+            if len("".join(words).split()) > 1 or "" in new or any(w[:1].isspace() or w[-1:].isspace() for w in words):
+                return False
+            inner = [u for u, w in zip(new, words) if u is w]
+            known.update(zip(inner, self._many([" " + u for u in inner])))
+            outer = [(u, w) for u, w in zip(new, words) if u is not w and w]
+            for (u, _), ids in zip(outer, self._many([w for _, w in outer])):
+                known[u] = self.line_end + ids if u[0] == LINE else ids
+            known.update((u, self.line_end if u == LINE else b"") for u in new if u in (LINE, BARE))
+        for u, word in ended.items():
+            known[u] = known[word] + self.ends[u[-1]]
         return True
 
     def _units(self, text: str) -> list[str] | None:
         """Cuts of a text, where the pre-splitting makes them too."""
-        if BARE in text:
+        if not self.glued:
+            return (text.lower() if text.isascii() else text).replace("\n", " ").split(" ")
+        if BARE in text or text[-1].isspace() or text[0].isspace() or "\n\n\n" in text or "\n\n " in text:
             return None
-        if self.glued:
-            if text[-1].isspace() or text[0].isspace() or "\n\n\n" in text or "\n\n " in text:
-                return None
-            text = BARE + text.replace("\n", " \n")
-        else:
-            text = (text.lower() if text.isascii() else text).replace("\n", " ")
-        if not _runs(text):  # full stops and commas follow words: they are pieces of their own
-            text = text.replace(".", " \x01.").replace(",", " \x01,")
-        return text.split(" ")
+        return (BARE + text.replace("\n", " \n")).split(" ")
 
     def encode(self, text: str) -> bytes:
         return self.encode_all([text])[0]
