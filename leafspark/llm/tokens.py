@@ -6,13 +6,15 @@ end. ``glued`` tokenizers (byte level, a space opens the next word) are cut befo
 end; texts with other or longer runs of white space, where the pre-splitting depends on the run, are encoded
 whole. The cache holds each word's ids as bytes, so that a text's ids are one join. New words are encoded
 many at once, with a separator between them whose own id shows where each ends. The cache is emptied when
-full, which bounds a worker's memory.
+full, which bounds a worker's memory, and when a worker has had no text for some seconds, so that later stages
+get the memory back.
 """
 
 from __future__ import annotations
 
 import gc
 import os
+import threading
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -21,6 +23,7 @@ import pyarrow as pa
 CACHE_WORDS = 1_500_000
 BATCH = 4096
 TEXTS = 128
+IDLE_SECONDS = 4.0
 LINE, BARE = "\n", "\x01"
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
 
@@ -42,6 +45,25 @@ class Encoder:
         self.line_end = np.asarray([self.mark_id], dtype="<u4").tobytes()
         self.ends = {c: self.whole(c) for c in ".,"}
         self.known: dict[str, bytes] = {}
+        self.lock, self.users = threading.Lock(), 0
+
+    def __enter__(self) -> Encoder:
+        with self.lock:
+            self.users += 1
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        with self.lock:
+            self.users -= 1
+        timer = threading.Timer(IDLE_SECONDS, self.forget)
+        timer.daemon = True
+        timer.start()
+
+    def forget(self) -> None:
+        """Empty the cache unless a task uses it."""
+        with self.lock:
+            if not self.users:
+                self.known.clear()
 
     def whole(self, text: str) -> bytes:
         (e,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
@@ -148,10 +170,10 @@ def encoded(
     batches: Iterable[pa.RecordBatch], path: str, cut: str, end_id: int | None
 ) -> Iterator[tuple[int | None, bytes]]:
     """(first column, ids with end_id) of each row of two-column batches; a null text is empty."""
-    enc = encoder(path, cut)
     end = b"" if end_id is None else np.asarray([end_id], dtype="<u4").tobytes()
-    for batch in batches:
-        for i in range(0, batch.num_rows, TEXTS):
-            keys, texts = (batch.column(c).slice(i, TEXTS).to_pylist() for c in (0, 1))
-            for key, ids in zip(keys, enc.encode_all([t or "" for t in texts])):
-                yield key, ids + end
+    with encoder(path, cut) as enc:
+        for batch in batches:
+            for i in range(0, batch.num_rows, TEXTS):
+                keys, texts = (batch.column(c).slice(i, TEXTS).to_pylist() for c in (0, 1))
+                for key, ids in zip(keys, enc.encode_all([t or "" for t in texts])):
+                    yield key, ids + end
