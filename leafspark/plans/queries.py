@@ -536,3 +536,77 @@ def book_normalize(spark: SparkSession, sf: str) -> DataFrame:
 def border_confidence(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("o_orderkey")
     return table(spark, sf, "orders").select("o_orderkey", stats.border_confidence(k % 4, F.floor(k / 4) % 3).alias("confidence"))
+
+
+@query("""SELECT user_id, round(100.0 * count(*) FILTER (event_type = 'error') / count(*), 4)::DOUBLE AS percent FROM events
+GROUP BY 1 HAVING 100 * count(*) FILTER (event_type = 'error') > 20 * count(*)""")
+def fallback_review(spark: SparkSession, sf: str) -> DataFrame:
+    """Stages in which over a fifth of the pages fell back."""
+    bad, n = F.count_if(F.col("event_type") == "error"), F.count("*")
+    out = table(spark, sf, "events").groupBy("user_id").agg(bad.alias("bad"), n.alias("n")).filter(100 * F.col("bad") > 20 * F.col("n"))
+    return out.select("user_id", F.round(100.0 * F.col("bad") / F.col("n"), 4).alias("percent"))
+
+
+@query("""SELECT p_partkey, part FROM (SELECT p_partkey, CASE WHEN p_size > 25 THEN ['left', 'right'] ELSE ['whole'] END AS parts FROM part), unnest(parts) t(part)""")
+def spread_split(spark: SparkSession, sf: str) -> DataFrame:
+    parts = F.when(F.col("p_size") > 25, F.array(F.lit("left"), F.lit("right"))).otherwise(F.array(F.lit("whole")))
+    return table(spark, sf, "part").select("p_partkey", F.explode(parts).alias("part"))
+
+
+@query("""SELECT o_custkey, o_orderkey, n AS printed, row_number() OVER (PARTITION BY o_custkey ORDER BY n, o_orderkey)::INT AS place,
+count(*) OVER (PARTITION BY o_custkey, n) > 1 AS duplicate FROM (SELECT o_custkey, o_orderkey, o_orderkey % 7 AS n FROM orders)""")
+def printed_page_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Order by printed number, numbers that occur twice flagged."""
+    rows = table(spark, sf, "orders").select("o_custkey", "o_orderkey", (F.col("o_orderkey") % 7).alias("printed"))
+    order = Window.partitionBy("o_custkey").orderBy("printed", "o_orderkey")
+    same = F.count("*").over(Window.partitionBy("o_custkey", "printed")) > 1
+    return rows.select("*", F.row_number().over(order).alias("place"), same.alias("duplicate"))
+
+
+@query("""WITH s AS (SELECT DISTINCT user_id % 2 AS branch, event_id % 16 AS n FROM events WHERE user_id < 20)
+SELECT branch, max(n) AS n, printf('%02d_stage', max(n)) AS stage FROM s WHERE n < 14 GROUP BY 1""")
+def latest_stage(spark: SparkSession, sf: str) -> DataFrame:
+    """Highest stage below 14 that each branch has."""
+    n = (F.col("event_id") % 16).alias("n")
+    rows = table(spark, sf, "events").filter("user_id < 20").select((F.col("user_id") % 2).alias("branch"), n).distinct()
+    named = rows.withColumn("stage", F.concat(F.lpad(F.col("n").cast("string"), 2, "0"), F.lit("_stage")))
+    return named.filter("n < 14").groupBy("branch").agg(F.max("n").alias("n"), F.max_by("stage", "n").alias("stage"))
+
+
+@query("""WITH c AS (SELECT * FROM (VALUES ('STEEL', 0.01), ('BRASS', 0.02), ('TIN', 0.03)) v(name, k1))
+SELECT p_partkey, coalesce(k1, 0.0)::DOUBLE AS k1 FROM part LEFT JOIN c ON contains(p_type, name)""")
+def lens_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """Coefficient by substring match with a table of three rows, nought where nothing matches."""
+    lenses = spark.createDataFrame([("STEEL", 0.01), ("BRASS", 0.02), ("TIN", 0.03)], "name string, k1 double")
+    out = table(spark, sf, "part").join(F.broadcast(lenses), F.contains("p_type", "name"), "left")
+    return out.select("p_partkey", F.coalesce("k1", F.lit(0.0)).alias("k1"))
+
+
+@query("""SELECT o_orderkey, coalesce(CASE WHEN o_orderkey % 5 = 0 THEN 'osd' END, CASE WHEN o_orderkey % 3 = 0 THEN 'title' END,
+CASE WHEN o_orderkey % 2 = 0 THEN 'spine' END, 'none') AS method FROM orders""")
+def polarity_cascade(spark: SparkSession, sf: str) -> DataFrame:
+    """First method of a priority order that answers."""
+    k = F.col("o_orderkey")
+    tries = [F.when(k % n == 0, F.lit(name)) for n, name in ((5, "osd"), (3, "title"), (2, "spine"))]
+    return table(spark, sf, "orders").select("o_orderkey", F.coalesce(*tries, F.lit("none")).alias("method"))
+
+
+@query("""SELECT label, greatest(20, round(0.5 * median(m), 4))::DOUBLE AS sat_min, greatest(40, round(0.5 * median(x), 4))::DOUBLE AS val_min FROM (
+SELECT label, list_avg(list_transform(embedding, lambda v: (v::DOUBLE + 0.5) * 255)) AS m, list_max(list_transform(embedding, lambda v: (v::DOUBLE + 0.5) * 255)) AS x
+FROM embeddings) GROUP BY 1""")
+def ink_thresholds(spark: SparkSession, sf: str) -> DataFrame:
+    """Thresholds at half the medians, with floors."""
+    v = F.transform("embedding", lambda x: (x.cast("double") + 0.5) * 255)
+    mean = F.aggregate(v, F.lit(0.0), lambda a, x: a + x) / F.size(v)
+    rows = table(spark, sf, "embeddings").select("label", mean.alias("m"), F.array_max(v).alias("x"))
+    floor = lambda c, least: F.greatest(F.lit(float(least)), F.round(0.5 * F.median(c), 4))
+    return rows.groupBy("label").agg(floor("m", 20).alias("sat_min"), floor("x", 40).alias("val_min"))
+
+
+@query("""SELECT s.o_orderstatus AS stage, e.event_type AS kind, count(e.event_id) AS n FROM (SELECT DISTINCT o_orderstatus FROM orders) s
+CROSS JOIN (SELECT DISTINCT event_type FROM events) t LEFT JOIN events e ON e.event_type = t.event_type AND e.event_id % 3 = CASE s.o_orderstatus WHEN 'O' THEN 0 WHEN 'F' THEN 1 ELSE 2 END
+GROUP BY ALL""")
+def stage_matrix(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts by stage and kind; the stage of an event follows from its id, so one aggregation fills the matrix."""
+    stage = F.element_at(F.array(F.lit("O"), F.lit("F"), F.lit("P")), (F.col("event_id") % 3 + 1).cast("int"))
+    return table(spark, sf, "events").groupBy(stage.alias("stage"), F.col("event_type").alias("kind")).agg(F.count("*").alias("n"))
