@@ -188,14 +188,13 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
             for i in range(batch.num_rows):
                 part, first, payload = (batch.column(c)[i].as_py() for c in ("part", "first_token", "payload"))
                 seg = Segment(payload)
-                ids, s = seg.tokens().astype("<u4").tobytes(), seg.starts
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(seg.doc_ids, pa.int64()),
-                        pa.array(s[:-1] + (before[part] + first), pa.int64()),
-                        pa.array([ids[4 * a : 4 * b] for a, b in zip(s[:-1], s[1:])], pa.binary()),
-                    ],
-                    names=["doc_id", "start", "ids"],
-                )
+                ids, s = seg.tokens().astype("<u4", copy=False), seg.starts
+                places = pa.py_buffer((4 * s).astype(np.int32))  # a segment is far below 2 GB but for one huge text
+                if 4 * s[-1] < 1 << 31:
+                    values = pa.Array.from_buffers(pa.binary(), len(s) - 1, [None, places, pa.py_buffer(ids)])
+                else:
+                    values = pa.array([ids[a:b].tobytes() for a, b in zip(s[:-1], s[1:])], pa.binary())
+                start = pa.array(s[:-1] + (before[part] + first), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(seg.doc_ids, pa.int64()), start, values], names=["doc_id", "start", "ids"])
 
     return table.select("part", "first_token", "payload").mapInArrow(run, "doc_id long, start long, ids binary")
