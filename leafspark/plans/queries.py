@@ -202,13 +202,13 @@ def manual_group_override(spark: SparkSession, sf: str) -> DataFrame:
 @query("""
 WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] v FROM embeddings), d AS (
 SELECT a.vec_id, b.vec_id other, round(list_sum(list_transform(list_zip(a.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 6) d
-FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE a.vec_id < 200),
+FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d, other) rn, lead(d) OVER (PARTITION BY vec_id ORDER BY d, other) d2 FROM d)
 SELECT vec_id, other AS nearest, d, d2, d < 0.75 * d2 AS matched FROM r WHERE rn = 1""")
 def two_nearest_ratio(spark: SparkSession, sf: str) -> DataFrame:
-    """Two nearest of one's own label, with the ratio test; the query set is ids under 200."""
+    """Two nearest of one's own label, with the ratio test; the queries are the ids divisible by 100."""
     e = table(spark, sf, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("v"))
-    a, b = e.filter("vec_id < 200").alias("a"), e.alias("b")
+    a, b = e.filter("vec_id % 100 = 0").alias("a"), e.alias("b")
     squares = F.zip_with("a.v", "b.v", lambda x, y: (x - y) * (x - y))
     pairs = a.join(b, (F.col("a.label") == F.col("b.label")) & (F.col("a.vec_id") != F.col("b.vec_id"))).select(
         F.col("a.vec_id").alias("vec_id"), F.col("b.vec_id").alias("other"),
@@ -563,12 +563,12 @@ def printed_page_order(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("*", F.row_number().over(order).alias("place"), same.alias("duplicate"))
 
 
-@query("""WITH s AS (SELECT DISTINCT user_id % 2 AS branch, event_id % 16 AS n FROM events WHERE user_id < 20)
+@query("""WITH s AS (SELECT DISTINCT user_id % 2 AS branch, event_id % 16 AS n FROM events)
 SELECT branch, max(n) AS n, printf('%02d_stage', max(n)) AS stage FROM s WHERE n < 14 GROUP BY 1""")
 def latest_stage(spark: SparkSession, sf: str) -> DataFrame:
     """Highest stage below 14 that each branch has."""
     n = (F.col("event_id") % 16).alias("n")
-    rows = table(spark, sf, "events").filter("user_id < 20").select((F.col("user_id") % 2).alias("branch"), n).distinct()
+    rows = table(spark, sf, "events").select((F.col("user_id") % 2).alias("branch"), n).distinct()
     named = rows.withColumn("stage", F.concat(F.lpad(F.col("n").cast("string"), 2, "0"), F.lit("_stage")))
     return named.filter("n < 14").groupBy("branch").agg(F.max("n").alias("n"), F.max_by("stage", "n").alias("stage"))
 
