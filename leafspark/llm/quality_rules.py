@@ -61,8 +61,12 @@ def worded_lines(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), "\n", -1), lambda x: F.btrim(x, F.lit(SPACE)) != "")
 
 
+def _copies(lines: Column) -> Column:
+    return (F.size(lines) - F.size(F.array_distinct(lines))).cast("long")
+
+
 def duplicate_lines(text: Column) -> Column:
-    return let(worded_lines(text), lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long")
+    return let(worded_lines(text), _copies)
 
 
 def _covered(at: Column, width: int) -> Column:
@@ -116,22 +120,22 @@ def figures(text: Column) -> dict[str, Column]:
 
 @dataclass(frozen=True)
 class Rule:
-    """rejects: of a text column, true where the text goes."""
+    """rejects: of a text and its number of words, true where the text goes."""
 
     name: str
-    rejects: Callable[[Column], Column]
+    rejects: Callable[[Column, Column], Column]
 
 
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 
 RULES = (
-    Rule("few_words", lambda t: word_count(t) < MIN_WORDS),
-    Rule("repeated_words", lambda t: 100 * repeated_words(t) > MAX_REPEATED_PERCENT * word_count(t)),
-    Rule("symbols", lambda t: 10 * symbol_count(t) > word_count(t)),
-    Rule("duplicate_lines", lambda t: 100 * duplicate_lines(t) > 30 * F.size(worded_lines(t))),
-    Rule("word_length", lambda t: (word_chars(t) < 2 * word_count(t)) | (word_chars(t) > 20 * word_count(t))),
-    Rule("shouting", lambda t: 5 * symbol_count(t, "!") > word_count(t)),
+    Rule("few_words", lambda t, n: n < MIN_WORDS),
+    Rule("repeated_words", lambda t, n: 100 * repeated_words(t) > MAX_REPEATED_PERCENT * n),
+    Rule("symbols", lambda t, n: 10 * symbol_count(t) > n),
+    Rule("duplicate_lines", lambda t, n: let(worded_lines(t), lambda x: 100 * _copies(x) > 30 * F.size(x))),
+    Rule("word_length", lambda t, n: let(word_chars(t), lambda c: (c < 2 * n) | (c > 20 * n))),
+    Rule("shouting", lambda t, n: 5 * symbol_count(t, "!") > n),
 )
 
 
@@ -149,12 +153,12 @@ class Measured:
 
 def measure(docs: DataFrame, text: str, rules: tuple[Rule, ...], sample_rows: int) -> list[Measured]:
     """Cost and selectivity of each rule on at most ``sample_rows`` rows, by worth, the best first."""
-    sample = docs.select(F.col(text).alias("t")).limit(sample_rows).persist()
+    sample = docs.select(F.col(text).alias("t"), word_count(F.col(text)).alias("n")).limit(sample_rows).persist()
     try:
         rows = sample.count()
         out = []
         for rule in rules:
-            counted = sample.select(F.count_if(rule.rejects(F.col("t"))).alias("n"))
+            counted = sample.select(F.count_if(rule.rejects(F.col("t"), F.col("n"))).alias("n"))
             counted.collect()  # compiles
             began = time.perf_counter()
             n = counted.collect()[0]["n"]
@@ -165,11 +169,15 @@ def measure(docs: DataFrame, text: str, rules: tuple[Rule, ...], sample_rows: in
 
 
 def verdict(text: Column, ordered: list[Rule]) -> Column:
-    """Name of the first rule that rejects, null where none does."""
-    out = F.lit(None).cast("string")
-    for rule in reversed(ordered):
-        out = F.when(F.coalesce(rule.rejects(text), F.lit(True)), F.lit(rule.name)).otherwise(out)
-    return out
+    """Name of the first rule that rejects, null where none does; words are counted once for all rules."""
+
+    def first(n: Column) -> Column:
+        out = F.lit(None).cast("string")
+        for rule in reversed(ordered):
+            out = F.when(F.coalesce(rule.rejects(text, n), F.lit(True)), F.lit(rule.name)).otherwise(out)
+        return out
+
+    return let(word_count(text), first)
 
 
 def cascade(
