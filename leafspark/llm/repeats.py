@@ -396,7 +396,7 @@ def _kept(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class Removed:
-    """rows: doc_id, t1, t2, n_bytes. texts: t1, t2, doc (least id), n_bytes, spans, kept bytes."""
+    """rows: doc_id, t1, t2, n_bytes, sha (without an id). texts: t1, t2, doc (least id), n_bytes, spans, kept bytes."""
 
     rows: DataFrame
     texts: DataFrame
@@ -410,7 +410,9 @@ def removed(docs: DataFrame, length: int = 50, key: str = "doc_id", text: str =
     raw = F.encode(F.coalesce(F.col(text), F.lit("")), "utf-8")
     named = docs.select(F.col(key).cast("long").alias("doc_id"), raw.alias("text"))
     hashes = [F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2")]
-    rows = store.cut(named.select("doc_id", *hashes, F.octet_length("text").cast("long").alias("n_bytes")), "rows")
+    size = F.octet_length("text").cast("long").alias("n_bytes")
+    unnamed = F.when(F.col("doc_id").isNull(), F.sha2("text", 256)).alias("sha")
+    rows = store.cut(named.select("doc_id", *hashes, size, unnamed), "rows")
     volume = rows.agg(F.sum("n_bytes")).collect()[0][0] or 0
     width = store.shuffle_width(spark)
     key_buckets = max(width, -(-volume // KEY_BUCKET_BYTES))
@@ -452,7 +454,7 @@ def digests(out: Removed, length: int = 50) -> DataFrame:
         "t1", "t2", "doc", size.alias("gone"), F.size("spans").cast("long").alias("runs"), F.sha2("kept", 256).alias("sha")
     )
     each = store.cut(each, "digests")
-    whole = store.cut(out.rows.filter("doc_id is not null"), "rows").join(each, ["t1", "t2"])
+    whole = out.rows.filter("doc_id is not null").drop("sha").join(each, ["t1", "t2"])
     copy = (F.col("doc_id") != F.col("doc")) & (F.col("n_bytes") >= length)
     empty = F.sha2(F.lit("").cast("binary"), 256)
     made = whole.select(
@@ -461,4 +463,8 @@ def digests(out: Removed, length: int = 50) -> DataFrame:
         F.when(copy, F.lit(1)).otherwise(F.when(F.col("doc_id") == F.col("doc"), F.col("runs")).otherwise(0)).cast("long").alias("n_spans"),
         F.when(copy, empty).otherwise(F.col("sha")).alias("kept_sha256"),
     )
-    return made
+    none = F.lit(0).cast("long")
+    alone = out.rows.filter("doc_id is null").select(
+        "doc_id", "n_bytes", none.alias("n_removed"), none.alias("n_spans"), F.col("sha").alias("kept_sha256")
+    )
+    return made.unionByName(alone)
