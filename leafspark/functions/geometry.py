@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 CORNERS = ("tl", "tr", "br", "bl")
 
 
+def bound(value: Column, body) -> Column:
+    """body(value) with value evaluated once a row, also inside lambdas."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def point(x: Column, y: Column) -> Column:
     return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
 
@@ -89,19 +94,21 @@ def at_boundary(quad: Column, width: Column, height: Column, margin: float = 5)
 
 def expand(quad: Column, width: Column, height: Column, share: float = 0.05, margin: float = 5) -> Column:
     """Corners moved away from the centre by a share of the mean edge; those at the boundary stay; clipped."""
-    mean = (edge(quad, 0, 1) + edge(quad, 1, 2) + edge(quad, 2, 3) + edge(quad, 3, 0)) / 4
-    cx = sum((F.get(quad, F.lit(i))["x"] for i in range(4)), F.lit(0.0)) / 4
-    cy = sum((F.get(quad, F.lit(i))["y"] for i in range(4)), F.lit(0.0)) / 4
 
-    def moved(p: Column) -> Column:
-        dx, dy = p["x"] - cx, p["y"] - cy
+    def centre(q: Column) -> Column:
+        total = lambda c: sum((F.get(q, F.lit(i))[c] for i in range(4)), F.lit(0.0))
+        mean = (edge(q, 0, 1) + edge(q, 1, 2) + edge(q, 2, 3) + edge(q, 3, 0)) / 4
+        return F.struct(mean.alias("mean"), (total("x") / 4).alias("x"), (total("y") / 4).alias("y"))
+
+    def moved(p: Column, c: Column) -> Column:
+        dx, dy = p["x"] - c["x"], p["y"] - c["y"]
         r = F.sqrt(dx * dx + dy * dy)
         stays = (p["x"] <= margin) | (p["y"] <= margin) | (p["x"] >= width - margin) | (p["y"] >= height - margin) | (r < 1e-9)
         clip = lambda v, top: F.greatest(F.lit(0.0), F.least(top.cast("double"), v))
-        x, y = clip(p["x"] + dx / r * share * mean, width), clip(p["y"] + dy / r * share * mean, height)
+        x, y = clip(p["x"] + dx / r * share * c["mean"], width), clip(p["y"] + dy / r * share * c["mean"], height)
         return F.when(stays, p).otherwise(point(x, y))
 
-    return F.transform(quad, moved)
+    return bound(quad, lambda q: bound(centre(q), lambda c: F.transform(q, lambda p: moved(p, c))))
 
 
 def clip_to_borders(quad: Column, left: Column, right: Column, width: Column, over: float = 0.04, keep: float = 0.02) -> Column:

@@ -23,6 +23,7 @@ def session(app: str = "leafspark", cores: str | int | None = None, **conf: str)
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g",
+        "spark.executorEnv.OMP_NUM_THREADS": "1",
     } | conf
     builder = SparkSession.builder.appName(app)
     if "SPARK_MASTER" not in os.environ:
