@@ -138,7 +138,7 @@ def search(
 ) -> DataFrame:
     """query_id, rank, vec_id and score of each query's k nearest by inner product, its own row left out.
 
-    ``queries`` holds rows of the same form. ``sample_rows`` bounds what codes and radius are learned from.
+    ``queries`` holds rows of the same form. Codes and radius are learned from about ``sample_rows``.
     """
     spark = vectors.sparkSession
 
@@ -154,7 +154,7 @@ def search(
         return spark.createDataFrame([], schema)
     dim, rows = sizes[0]["d"], sizes[0]["count"]
     right = F.size("v") == dim
-    picked = usable(vectors).filter(right).orderBy(F.xxhash64("id"), "id").limit(sample_rows)
+    picked = store.bounded_sample(usable(vectors).filter(right), "id", sample_rows, rows).orderBy("id")
     codes = fit(np.asarray([r["v"] for r in picked.select("v").collect()]), rows, k, recall)
     blocks = max(-(-rows // block_rows), min(store.shuffle_width(spark), -(-rows // 8192)))
 

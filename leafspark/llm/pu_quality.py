@@ -161,7 +161,7 @@ def calibrate(f: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def fit(table: DataFrame, labels: DataFrame, sample_rows: int = 20_000) -> Model:
-    """labels: doc_id and quality of trusted training rows; sample_rows bounds what the curve is fitted on."""
+    """labels: doc_id and quality of trusted training rows; about sample_rows of them, and twice that at most, fit the curve."""
     known = labels.filter(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     trusted = store.cut(table.join(known, "doc_id").select("doc_id", "x", "quality"), "trusted")
     positives = trusted.filter("quality = 1")
@@ -171,7 +171,7 @@ def fit(table: DataFrame, labels: DataFrame, sample_rows: int = 20_000) -> Model
     weights = fit_weights(pos, all_, 0.5)
     prior = prior_of(_histogram(positives, weights), _histogram(table, weights))
     weights = fit_weights(pos, all_, prior)
-    rows = trusted.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows).select("x", "quality").collect()
+    rows = store.bounded_sample(trusted, "doc_id", sample_rows, trusted.count()).select("x", "quality").collect()
     f = np.frombuffer(b"".join(r["x"] for r in rows), "<f4").reshape(-1, DIM).astype(float) @ weights
     slope, shift = calibrate(f, np.array([r["quality"] for r in rows]))
     return Model(weights, prior, slope, shift)

@@ -79,14 +79,15 @@ def fit_softmax(x: np.ndarray, y: np.ndarray, k: int, ridge: float = 1e-3, steps
 
 
 def train(docs: DataFrame, labelled: DataFrame, domains: list[str], key: str = "doc_id", text: str = "text", sample_rows: int = SAMPLE_ROWS) -> Classifier:
-    """labelled: doc_id and domain. At most ``sample_rows`` labelled rows are learned from.
+    """labelled: doc_id and domain. About ``sample_rows`` labelled rows are learned from.
 
     Telling words are counted in executors over those rows; the driver gets a vocabulary of fixed size and
     the sample's feature vectors.
     """
     model = Classifier(domains)
     known = labelled.filter(F.col("domain").isin(domains)).groupBy("doc_id").agg(F.min("domain").alias("domain"))
-    known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
+    known = store.cut(known, "known")
+    known = store.bounded_sample(known, "doc_id", sample_rows, known.count())
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("t"))
     sample = store.cut(rows.join(F.broadcast(known), "doc_id"), "labelled")
     sizes = {r["domain"]: r["count"] for r in sample.groupBy("domain").count().collect()}

@@ -14,6 +14,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -67,3 +68,14 @@ def release(spark: SparkSession) -> None:
         gc.collect()
         spark.sparkContext._jvm.System.gc()
         time.sleep(0.2)
+
+
+def bounded_sample(df: DataFrame, key: str, rows: int, total: int) -> DataFrame:
+    """About ``rows`` of ``total`` rows, by a hash of their key, and twice that at most; all if there are fewer.
+
+    A filter, so no task sends more than its share, as ordering and cutting would. The cut at twice the
+    number only acts where few keys hold many rows.
+    """
+    if total <= rows:
+        return df
+    return df.filter(F.pmod(F.xxhash64(F.lit("sample"), key), F.lit(1 << 30)) < int(rows / total * (1 << 30))).limit(2 * rows)
