@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from leafspark.llm import near_dedup, packing, pii, quality_rules, registry, soft_mixing, store
 
-#: Share of tokens that each domain of the labelled table shall have. What is scarcest sets the scale, so the
-#: good domain keeps its tokens and the toxic one shrinks.
+#: Share of tokens that each domain of the labelled table shall have. The first keeps its tokens; shares of the
+#: others are upper bounds, so toxic text shrinks where there is more of it, and scarce toxic text shrinks nothing.
 MIX = {"good": 0.99, "toxic": 0.01}
 #: Rates this near to a whole number are that number: nearly certain documents are not put to the draw.
 SLACK = 0.2
@@ -34,8 +34,10 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = registry.labelled_domains(registry.table(spark, sf_dir, "labels")).filter(F.col("domain").isin(list(MIX)))
     model = soft_mixing.train(docs, labels, list(MIX))
+    if model.weights is None:  # labels of fewer than two domains tell no document from another
+        return docs
     members = soft_mixing.memberships(docs, model)
-    fit = soft_mixing.fit_rates(members, list(MIX.values()), keep="scarcest")
+    fit = soft_mixing.fit_rates(members, list(MIX.values()), keep="first")
     return soft_mixing.mixed(docs, model, fit, slack=SLACK)
 
 

@@ -7,7 +7,9 @@ second moments. A step needs only as many sums as there are domains, over all do
 is refolded from the list of the steps so far, so no state is kept a document.
 
 Targets sum to all present tokens (``keep="total"``), or are scaled so that the domain which is scarcest
-against its share keeps its present tokens and the others shrink (``keep="scarcest"``).
+against its share keeps its present tokens and the others shrink (``keep="scarcest"``), or so that the
+first domain keeps its present tokens and shares are upper bounds of the others (``keep="first"``): one that
+is below its share keeps what it has and shrinks nothing.
 
 A rate becomes copies: its whole part, and one more where a hash of the id falls below the rest.
 
@@ -165,11 +167,15 @@ def fit_rates(table: DataFrame, weights: list[float], keep: str = "total", round
     first = table.agg(*second, *[F.sum(t * at(i)).alias(f"s{i}") for i in range(k)]).collect()[0]
     now = np.array([first[f"s{i}"] or 0.0 for i in range(k)])
     shape = np.array([[first[f"h{i}_{j}"] or 0.0 for j in range(k)] for i in range(k)])
-    if keep not in ("total", "scarcest"):
-        raise ValueError("keep is total or scarcest")
-    wanted = share > 0
-    total = now.sum() if keep == "total" else (now[wanted] / share[wanted]).min()
-    targets, totals, steps = share * total, now, []
+    if keep not in ("total", "scarcest", "first"):
+        raise ValueError("keep is total, scarcest or first")
+    if keep == "first":
+        targets = np.minimum(now, share * now[0] / share[0])
+        targets[0] = now[0]
+    else:
+        wanted = share > 0
+        targets = share * (now.sum() if keep == "total" else (now[wanted] / share[wanted]).min())
+    totals, steps = now, []
     inverse = np.linalg.pinv(shape + 1e-9 * max(np.trace(shape), 1e-9) * np.eye(k))
     for _ in range(rounds):
         miss = totals - targets
