@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -86,3 +88,16 @@ def stale_from_change(df: DataFrame, by: list[str], order: str, changed: Column)
 def best_of(df: DataFrame, by: list[str], score: str, key: str) -> DataFrame:
     """Key and score of each group's highest score, the least key on ties."""
     return df.groupBy(*by).agg(F.max_by(key, F.struct(score, -F.col(key))).alias(key), F.max(score).alias(score))
+
+
+def without_retakes(sharpness: Sequence[float], same: Callable[[int, int], bool]) -> list[bool]:
+    """Which of a group's shots, in order, stay: of each two kept ones that are the ``same``, the less sharp goes.
+
+    Every shot meets all later ones; ties keep the first, and a dropped shot takes no further part.
+    """
+    keep = [True] * len(sharpness)
+    for i in range(len(keep)):
+        for j in range(i + 1, len(keep)):
+            if keep[i] and keep[j] and same(i, j):
+                keep[j if sharpness[i] >= sharpness[j] else i] = False
+    return keep

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -226,6 +228,25 @@ def retake_dedup_exact(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").groupBy(key).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies")).drop("h")
 
 
+@query()
+def retake_dedup_greedy(spark: SparkSession, sf: str) -> DataFrame:
+    """Vectors of one label among each 100 ids, as shots of a group: which stay where a cosine of 0.2 is a retake.
+
+    Sharpness is the number of positive values. A group has at most 100 rows.
+    """
+    e = table(spark, sf, "embeddings").select("vec_id", "label", F.floor(F.col("vec_id") / 100).alias("part"), F.col("embedding").cast("array<double>").alias("v"))
+
+    def retakes(g: pd.DataFrame) -> pd.DataFrame:
+        g = g.sort_values("vec_id")
+        v = np.stack(g["v"])
+        norm = np.linalg.norm(v, axis=1)
+        keep = sequences.without_retakes((v > 0).sum(axis=1), lambda i, j: v[i] @ v[j] >= 0.2 * norm[i] * norm[j])
+        return g.assign(kept=keep)[["label", "part", "vec_id", "kept"]]
+
+    kind = e.schema["label"].dataType.simpleString()
+    return e.groupBy("label", "part").applyInPandas(retakes, f"label {kind}, part long, vec_id long, kept boolean")
+
+
 @query("""SELECT source, doc_id, n_chars FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id) rn
 FROM documents) WHERE rn = 1""")
 def best_of_group(spark: SparkSession, sf: str) -> DataFrame:

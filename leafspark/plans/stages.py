@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafspark.functions.kernels import color, features, morph, page, warp
+from leafspark.operators import sequences
 from leafspark.plans.config import Config
 from leafspark.sources.images import PAGE, as_row, pixels
 
@@ -251,9 +252,10 @@ def shot_features(pages: DataFrame) -> DataFrame:
 
 
 def page_groups(shots: DataFrame, cfg: Config) -> DataFrame:
-    """book, stem, group_id and kept: shots of one page; small copies meet their neighbour alone.
+    """book, stem, group_id and kept: shots of one page; small copies meet their neighbour, and then their group.
 
-    Excluded stems and covers are left out; retakes that a sharper shot of their group covers are not kept.
+    Excluded stems and covers are left out; of each two kept shots of a group that show the same, the less sharp is
+    not kept. A group is a few shots, so its small copies fit a task.
     """
     kept = shots.filter(~F.col("stem").isin(list(cfg.exclude))) if cfg.exclude else shots
     if not cfg.include_covers:
@@ -266,16 +268,15 @@ def page_groups(shots: DataFrame, cfg: Config) -> DataFrame:
         for f in frames:
             rows = []
             for r in f.to_dict("records"):
-                link, share = False, 0.0
+                link = False
                 if r["p_small"] is not None and r["stem"] not in cfg.no_stitch and r["p_stem"] not in cfg.no_stitch:
                     a, b = (np.frombuffer(r[p + "small"], np.uint8).reshape(int(r[p + "h"]), int(r[p + "w"]), -1) for p in ("p_", ""))
                     found = features.overlap(a, b)
                     link = features.linked(found, cfg.stitch_min_matches, cfg.stitch_min_inliers, cfg.stitch_min_overlap)
-                    share = found["overlap"]
-                rows.append((r["book"], r["stem"], r["page_seq"], r["focus"], link, share))
-            yield pd.DataFrame(rows, columns=["book", "stem", "page_seq", "focus", "link", "share"])
+                rows.append((r["book"], r["stem"], r["page_seq"], r["focus"], r["h"], r["w"], r["small"], link))
+            yield pd.DataFrame(rows, columns=["book", "stem", "page_seq", "focus", "h", "w", "small", "link"])
 
-    linked = pairs.mapInPandas(match, "book string, stem string, page_seq long, focus double, link boolean, share double")
+    linked = pairs.mapInPandas(match, "book string, stem string, page_seq long, focus double, h int, w int, small binary, link boolean")
     order = Window.partitionBy("book").orderBy("page_seq")
     number = F.sum(F.when(F.col("link"), 0).otherwise(1)).over(order.rowsBetween(Window.unboundedPreceding, 0))
     auto = linked.withColumn("group_no", number)
@@ -287,12 +288,14 @@ def page_groups(shots: DataFrame, cfg: Config) -> DataFrame:
         out = out.withColumn("group_id", F.coalesce(known[F.col("stem")], F.col("stem")))
 
     def retakes(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values("page_seq").reset_index(drop=True)
-        keep = [True] * len(g)
-        for i in range(1, len(g)):
-            before = next((k for k in range(i - 1, -1, -1) if keep[k]), None)
-            if before is not None and g.loc[i, "share"] >= cfg.retake_overlap:
-                keep[before if g.loc[i, "focus"] > g.loc[before, "focus"] else i] = False
+        g = g.sort_values("page_seq")
+        small = [np.frombuffer(b, np.uint8).reshape(int(h), int(w), -1) for b, h, w in zip(g["small"], g["h"], g["w"])]
+
+        def same(i: int, j: int) -> bool:
+            found = features.overlap(small[i], small[j])
+            return found["matches"] >= cfg.stitch_min_matches and found["overlap"] >= cfg.retake_overlap
+
+        keep = sequences.without_retakes(g["focus"].tolist(), same)
         return g.assign(kept=keep)[["book", "stem", "group_id", "focus", "kept"]]
 
     return out.groupBy("book", "group_id").applyInPandas(retakes, "book string, stem string, group_id string, focus double, kept boolean")
