@@ -14,7 +14,7 @@
    Pairs inside a component need no check: it could not change the components.
 
 Band sizes are chosen so that a pair at the threshold misses all buckets with a chance under 1e-5, and the
-sketch margin is over five standard deviations.
+sketch limit is five standard deviations or more over what such a pair has.
 
 Defined cases: null, empty and blank texts have no shingles and are linked with nothing; repeated rows are
 in one component; rows of one id count as one document; rows without an id are linked with nothing and
@@ -38,6 +38,7 @@ from leafspark.llm.shingles import U, mix, shingle_sets
 BANDS = 32
 SKETCH_BITS = 512
 SKETCH_MARGIN = 0.15
+SKETCH_DEVIATIONS = 5
 STARS = 3
 SMALL_BUCKET = 24
 BLOCK = 256
@@ -96,9 +97,17 @@ class MinHash:
 
 
 def sketch_limit(like: Similarity) -> int:
-    """Most differing sketch bits of a pair that may reach the threshold."""
-    differ = 2 * like.samples * (1 - (like.percent / 100 - SKETCH_MARGIN))
-    return int(np.ceil(SKETCH_BITS / 2 * (1 - (1 - 2 / SKETCH_BITS) ** differ)))
+    """Most differing sketch bits of a pair that may reach the threshold.
+
+    Those of a pair below it by the margin, and no fewer than lie within the deviations of a pair at it. Its
+    samples differ by a binomial law, each one that does flips two bits, and bits that are odd differ.
+    """
+    t, n, bits = like.percent / 100, like.samples, SKETCH_BITS
+    margin = bits / 2 * (1 - (1 - 2 / bits) ** (2 * n * (1 - (t - SKETCH_MARGIN))))
+    even, both = ((t + (1 - t) * (1 - c / bits) ** 2) ** n for c in (2, 4))
+    mean = bits / 2 * (1 - even)
+    deviation = (mean + bits * (bits - 1) / 4 * (1 - 2 * even + both) - mean * mean) ** 0.5
+    return int(np.ceil(max(margin, mean + SKETCH_DEVIATIONS * deviation)))
 
 
 def _fingerprint(hashes: np.ndarray) -> tuple[int, int]:
