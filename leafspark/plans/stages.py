@@ -236,32 +236,40 @@ def last_of(results: DataFrame) -> DataFrame:
 
 
 def shot_features(pages: DataFrame) -> DataFrame:
-    """stem, page_seq, focus, dark share, and a small gray copy for matching."""
+    """stem, page_seq, focus, dark share, and the described corners for matching."""
 
     def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             rows = []
             for row in f.to_dict("records"):
                 img = pixels(row)
-                small, _ = warp.limited(img, 500)
-                rows.append((row["book"], row["stem"], row["page_seq"], morph.laplacian_variance(color.gray(img)), color.dark_share(img), *small.shape[:2], small.tobytes()))
-            yield pd.DataFrame(rows, columns=["book", "stem", "page_seq", "focus", "dark", "h", "w", "small"])
+                d = features.described(img)
+                rows.append((row["book"], row["stem"], row["page_seq"], morph.laplacian_variance(color.gray(img)), color.dark_share(img), d.h, d.w, d.points.astype("<i4").tobytes(), d.bits.tobytes()))
+            yield pd.DataFrame(rows, columns=["book", "stem", "page_seq", "focus", "dark", "h", "w", "points", "bits"])
 
     kept = pages.filter("data is not null")
-    return kept.mapInPandas(run, "book string, stem string, page_seq long, focus double, dark double, h int, w int, small binary")
+    return kept.mapInPandas(run, f"book string, stem string, page_seq long, focus double, dark double, {DESCRIBED}")
+
+
+DESCRIBED = "h int, w int, points binary, bits binary"
+
+
+def described(row: dict, prefix: str = "") -> features.Described:
+    h, w, points, bits = (row[prefix + c] for c in ("h", "w", "points", "bits"))
+    return features.Described(int(h), int(w), np.frombuffer(points, "<i4").reshape(-1, 2), np.frombuffer(bits, np.uint8).reshape(-1, 32))
 
 
 def page_groups(shots: DataFrame, cfg: Config) -> DataFrame:
-    """book, stem, group_id and kept: shots of one page; small copies meet their neighbour, and then their group.
+    """book, stem, group_id and kept: shots of one page; corners meet their neighbour's, and then their group's.
 
     Excluded stems and covers are left out; of each two kept shots of a group that show the same, the less sharp is
-    not kept. A group is a few shots, so its small copies fit a task.
+    not kept. A group is a few shots, so its corners fit a task.
     """
     kept = shots.filter(~F.col("stem").isin(list(cfg.exclude))) if cfg.exclude else shots
     if not cfg.include_covers:
         kept = kept.filter("dark <= 0.8")
     w = Window.partitionBy("book").orderBy("page_seq")
-    names = ("stem", "h", "w", "small")
+    names = ("stem", "h", "w", "points", "bits")
     pairs = kept.select("*", *[F.lag(c).over(w).alias(f"p_{c}") for c in names])
 
     def match(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -269,14 +277,13 @@ def page_groups(shots: DataFrame, cfg: Config) -> DataFrame:
             rows = []
             for r in f.to_dict("records"):
                 link = False
-                if r["p_small"] is not None and r["stem"] not in cfg.no_stitch and r["p_stem"] not in cfg.no_stitch:
-                    a, b = (np.frombuffer(r[p + "small"], np.uint8).reshape(int(r[p + "h"]), int(r[p + "w"]), -1) for p in ("p_", ""))
-                    found = features.overlap(a, b)
+                if r["p_bits"] is not None and r["stem"] not in cfg.no_stitch and r["p_stem"] not in cfg.no_stitch:
+                    found = features.compared(described(r, "p_"), described(r))
                     link = features.linked(found, cfg.stitch_min_matches, cfg.stitch_min_inliers, cfg.stitch_min_overlap)
-                rows.append((r["book"], r["stem"], r["page_seq"], r["focus"], r["h"], r["w"], r["small"], link))
-            yield pd.DataFrame(rows, columns=["book", "stem", "page_seq", "focus", "h", "w", "small", "link"])
+                rows.append((r["book"], r["stem"], r["page_seq"], r["focus"], r["h"], r["w"], r["points"], r["bits"], link))
+            yield pd.DataFrame(rows, columns=["book", "stem", "page_seq", "focus", "h", "w", "points", "bits", "link"])
 
-    linked = pairs.mapInPandas(match, "book string, stem string, page_seq long, focus double, h int, w int, small binary, link boolean")
+    linked = pairs.mapInPandas(match, f"book string, stem string, page_seq long, focus double, {DESCRIBED}, link boolean")
     order = Window.partitionBy("book").orderBy("page_seq")
     number = F.sum(F.when(F.col("link"), 0).otherwise(1)).over(order.rowsBetween(Window.unboundedPreceding, 0))
     auto = linked.withColumn("group_no", number)
@@ -289,10 +296,10 @@ def page_groups(shots: DataFrame, cfg: Config) -> DataFrame:
 
     def retakes(g: pd.DataFrame) -> pd.DataFrame:
         g = g.sort_values("page_seq")
-        small = [np.frombuffer(b, np.uint8).reshape(int(h), int(w), -1) for b, h, w in zip(g["small"], g["h"], g["w"])]
+        shots = [described(r) for r in g.to_dict("records")]
 
         def same(i: int, j: int) -> bool:
-            found = features.overlap(small[i], small[j])
+            found = features.compared(shots[i], shots[j])
             return found["matches"] >= cfg.stitch_min_matches and found["overlap"] >= cfg.retake_overlap
 
         keep = sequences.without_retakes(g["focus"].tolist(), same)
