@@ -9,9 +9,9 @@ the suffixes near anchors of one key.
 3. Texts with shared anchors give each one's context: the bytes of the windows it stands for. Contexts that
    a task sees in several documents are settled there; the least document's goes on, once a task.
 4. Contexts of a key meet. Suffixes at the windows' starts are sorted, neighbours' common prefixes scanned:
-   each interval with a common prefix of ``length`` bytes or more is a repeat with all its occurrences; its
-   least document tells which occurrences go. ``intervals`` also gives the nested ones, and whether the
-   bytes before the occurrences differ, that is whether the repeat is maximal.
+   each run with a common prefix of ``length`` bytes or more is a repeated window; its least document tells
+   which occurrences go. Maximal repeats are no output: contexts end before longer ones do, and occurrences
+   settled in step 3 are not kept. ``intervals`` finds them in a suffix array of whole texts; nothing here calls it.
 
 What one key brings to a task is bounded by the number of tasks, not of occurrences.
 
