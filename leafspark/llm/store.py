@@ -6,6 +6,7 @@ plan, so that later joins may split skewed partitions.
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import time
@@ -70,6 +71,18 @@ def release(spark: SparkSession) -> None:
         time.sleep(0.2)
 
 
+def give_back() -> None:
+    """In a Python worker: return memory that the allocators hold but nothing uses."""
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library
+        pass
+
+
 def bounded_sample(df: DataFrame, key: str, rows: int, total: int) -> DataFrame:
     """About ``rows`` of ``total`` rows, by a hash of their key, and twice that at most; all if there are fewer.
 
