@@ -7,11 +7,14 @@
 3. Classes that share a band key are candidates. In a bucket, all are compared with its least member, not
    with each other. Candidates whose sketches tell a similarity far below the threshold go; the rest are
    checked on full sets, in integers.
-4. Links found are contracted to components; members of a bucket that still lie in different components are
-   compared with the bucket's next member, and after ``STARS`` such rounds with each other: in small buckets
+4. Links found are contracted; members of a bucket that still lie in different parts are compared with the
+   bucket's next member, and after ``STARS`` such rounds with each other: in small buckets
    as pairs, sketches first; larger ones are cut into blocks, each two of which meet in a task that
    intersects full sets as bitmaps and gives links alone, so pairs are never written out.
-   Pairs inside a component need no check: it could not change the components.
+   Pairs inside a part need no check: it could not change the components. Those are settled once, at the end.
+
+Full sets are sets of 64-bit hashes of shingles. A text pair is misjudged only where hashes of different shingles
+of the two collide: for two texts of 10,000 shingles the chance is under 1e-11.
 
 Band sizes are chosen so that a pair at the threshold misses all buckets with a chance under 1e-5, and the
 sketch limit is five standard deviations or more over what such a pair has.
@@ -32,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leafspark.llm import store
-from leafspark.llm.components import components
+from leafspark.llm.components import components, contracted
 from leafspark.llm.shingles import U, mix, shingle_sets
 
 BANDS = 32
@@ -142,7 +145,7 @@ def signatures(rows: DataFrame, like: Similarity) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_arrays(cols, schema=schema)
 
-    made = rows.mapInArrow(run, "doc_id long, n_shingles long, f1 long, f2 long, bands array<long>, sketch array<long>")
+    made = rows.mapInArrow(store.tidy(run), "doc_id long, n_shingles long, f1 long, f2 long, bands array<long>, sketch array<long>")
     return store.cut(made, "signatures")
 
 
@@ -156,7 +159,7 @@ def _full_sets(rows: DataFrame, like: Similarity) -> DataFrame:
                 sets = [s.view(np.int64) for s in shingle_sets(_texts(part), like.width)]
                 yield pa.RecordBatch.from_arrays([part.column("k"), pa.array(sets, pa.list_(pa.int64()))], names=["node", "s"])
 
-    return rows.mapInArrow(run, "node long, s array<long>")
+    return rows.mapInArrow(store.tidy(run), "node long, s array<long>")
 
 
 def _far(x: Column, y: Column) -> Column:
@@ -212,8 +215,8 @@ class _Linker:
 
     def sets(self, nodes: DataFrame) -> DataFrame:
         """node and s, the full shingle set, of nodes (a column k)."""
-        nodes = nodes.distinct()
-        own = self.rows.join(store.cut(nodes, "asked"), "k", "left_semi")
+        nodes = store.cut(nodes.distinct(), "asked")
+        own = self.rows.join(nodes, "k", "left_semi")
         sets = store.cut(_full_sets(own, self.like), "sets")
         if sets.count() > nodes.count():  # repeated rows
             one = sets.groupBy("node", F.xxhash64("s").alias("h")).agg(F.first("s").alias("s"))
@@ -252,68 +255,71 @@ class _Linker:
         percent = self.like.percent
         self.keep(met.applyInArrow(lambda t: _block_links(t, percent), "a long, b long").distinct())
 
-    def labels(self) -> DataFrame | None:
-        return None if self.links is None else components(self.links)
+    def labels(self, settled: bool) -> DataFrame | None:
+        """node and label of the links so far: components, or parts of them that one round finds."""
+        return None if self.links is None else (components if settled else contracted)(self.links)
 
 
 def grouped(docs: DataFrame, like: Similarity = Similarity(), key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of docs."""
-    rows = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"))
-    table = signatures(rows, like)
-    some = table.filter("n_shingles > 0 and doc_id is not null")
-    classes = store.cut(
-        some.groupBy("f1", "f2").agg(
-            F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles"),
-            F.first("bands").alias("bands"), F.first("sketch").alias("sketch"),
-        ),
-        "classes",
-    )
-    banded = classes.select("node", F.explode("bands").alias("key"))
-    shared = banded.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-    members = store.cut(banded.join(store.cut(shared, "keys"), "key", "left_semi"), "members")
-
-    linker = _Linker(rows, classes, like)
-    left = members.withColumn("label", F.col("node"))
-    for _ in range(STARS):
-        least = store.cut(left.groupBy("key").agg(F.min(F.struct("node", "label")).alias("c")), "centres")
-        pairs = left.join(least, "key").filter("node != c.node and label != c.label")
-        pairs = store.cut(pairs.select(F.col("c.node").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
-        linker.check(store.cut(linker.sketched(pairs), "near"))
-        labels = linker.labels()
+    with store.scratch(docs.sparkSession):
+        rows = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"))
+        table = signatures(rows, like)
+        some = table.filter("n_shingles > 0 and doc_id is not null")
+        classes = store.cut(
+            some.groupBy("f1", "f2").agg(
+                F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles"),
+                F.first("bands").alias("bands"), F.first("sketch").alias("sketch"),
+            ),
+            "classes",
+        )
+        banded = classes.select("node", F.explode("bands").alias("key"))
+        shared = banded.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+        members = store.cut(banded.join(store.cut(shared, "keys"), "key", "left_semi"), "members")
+
+        linker = _Linker(rows, classes, like)
+        left = members.withColumn("label", F.col("node"))
+        for _ in range(STARS):
+            least = store.cut(left.groupBy("key").agg(F.min(F.struct("node", "label")).alias("c")), "centres")
+            pairs = left.join(least, "key").filter("node != c.node and label != c.label")
+            pairs = store.cut(pairs.select(F.col("c.node").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
+            linker.check(store.cut(linker.sketched(pairs), "near"))
+            labels = linker.labels(settled=False)
+            if labels is None:
+                break
+            # What has been compared with all of its bucket, and buckets of one component, are done.
+            rest = left.join(least, "key").filter("node != c.node").select("key", "node")
+            rest = rest.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
+            rest = store.cut(rest, "members")
+            split = rest.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y")
+            left = store.cut(rest.join(store.cut(split.select("key"), "keys"), "key", "left_semi"), "members")
+            if left.isEmpty():
+                break
+        if not left.isEmpty():
+            sizes = store.cut(left.groupBy("key").agg(F.count("*").alias("n")), "sizes")
+            few = left.join(sizes.filter(F.col("n") <= SMALL_BUCKET), "key", "left_semi")
+            full = store.cut(few.join(classes.select("node", "n_shingles", "sketch"), "node"), "members")
+            x, y = full.alias("x"), full.alias("y")
+            apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label"))
+            pairs = x.join(y, apart & linker.near("x", "y")).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+            linker.check(store.cut(pairs.distinct(), "near"))
+            large = sizes.filter(F.col("n") > SMALL_BUCKET)
+            linker.check_blocks(store.cut(left.join(large, "key", "left_semi"), "members"), large)
+        labels = linker.labels(settled=True)
+
+        out = some.select("doc_id", "n_shingles", "f1", "f2").join(classes.select("f1", "f2", "node"), ["f1", "f2"])
         if labels is None:
-            break
-        # What has been compared with all of its bucket, and buckets of one component, are done.
-        rest = left.join(least, "key").filter("node != c.node").select("key", "node")
-        rest = rest.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
-        rest = store.cut(rest, "members")
-        split = rest.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y")
-        left = store.cut(rest.join(store.cut(split.select("key"), "keys"), "key", "left_semi"), "members")
-        if left.isEmpty():
-            break
-    if not left.isEmpty():
-        sizes = store.cut(left.groupBy("key").agg(F.count("*").alias("n")), "sizes")
-        few = left.join(sizes.filter(F.col("n") <= SMALL_BUCKET), "key", "left_semi")
-        full = store.cut(few.join(classes.select("node", "n_shingles", "sketch"), "node"), "members")
-        x, y = full.alias("x"), full.alias("y")
-        apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label"))
-        pairs = x.join(y, apart & linker.near("x", "y")).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-        linker.check(store.cut(pairs.distinct(), "near"))
-        large = sizes.filter(F.col("n") > SMALL_BUCKET)
-        linker.check_blocks(store.cut(left.join(large, "key", "left_semi"), "members"), large)
-    labels = linker.labels()
-
-    out = some.select("doc_id", "n_shingles", "f1", "f2").join(classes.select("f1", "f2", "node"), ["f1", "f2"])
-    if labels is None:
-        out = out.withColumn("component_id", F.col("node"))
-    else:
-        out = out.join(labels, "node", "left").withColumn("component_id", F.coalesce("label", "node"))
-    alone = table.filter("n_shingles = 0 or doc_id is null").withColumn("component_id", F.col("doc_id"))
-    names = ["doc_id", "n_shingles", "component_id"]
-    out = out.select(names).unionByName(alone.select(names))
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+            out = out.withColumn("component_id", F.col("node"))
+        else:
+            out = out.join(labels, "node", "left").withColumn("component_id", F.coalesce("label", "node"))
+        alone = table.filter("n_shingles = 0 or doc_id is null").withColumn("component_id", F.col("doc_id"))
+        names = ["doc_id", "n_shingles", "component_id"]
+        out = out.select(names).unionByName(alone.select(names))
+        out = out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+        return store.cut(out, "groups", keep=True)
 
 
 def deduplicated(docs: DataFrame, like: Similarity = Similarity(), key: str = "doc_id", text: str = "text") -> DataFrame:
     """docs without the rows that a near-duplicate of smaller id stands for."""
-    gone = grouped(docs, like, key, text).filter("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(store.cut(gone, "gone"), docs[f"`{key}`"].cast("long") == F.col("__gone"), "left_anti")
+    gone = store.cut(grouped(docs, like, key, text).filter("not kept").select("doc_id").distinct(), "gone")
+    return docs.join(gone, docs[f"`{key}`"].cast("long") == gone["doc_id"], "left_anti")

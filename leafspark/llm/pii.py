@@ -5,17 +5,19 @@ generators then propose further, overlapping spans; each gets features of its fo
 sum of boosted trees, compiled into CASE expressions, is its score. Spans over their kind's threshold are
 added where they overlap no base span, the leftmost first. Base spans always stay.
 
-The trees are fitted on candidates of a bounded sample of texts: those that base detection confirms are
-positive, those that touch nothing it found and fail their kind's check are negative. A threshold is the
-lowest score at which, on half of the sample kept apart, 95 of 100 candidates are positive.
+The trees learn from planted items, not from what base detection says: personal data and look-alikes (versions,
+dates, amounts, serial numbers, measurements, failing cards) are made by rule, in many spellings and after many
+phrases, and set into a bounded, hashed sample of the corpus's own texts. Candidates over a planted item are
+positive if they match its place and kind, negative if it is a look-alike. A threshold is the lowest score of its
+kind at which, among items kept apart, 95 of 100 candidates are positive.
 
 Everything happens in the row: nothing shuffles. Patterns are possessive and anchored at the start of runs, so
 a text's length costs linear time and no recursion, with the same matches as the plain forms. Places of
 matches come from running sums of the lengths of matches and gaps, in code points.
 
 Defined cases: a null or empty text has no spans and is returned as it is by ``redacted``; equal texts give equal
-spans; on an empty table, or a sample without both kinds of candidates, only base spans are used; other
-columns pass through ``redacted`` and are not touched.
+spans; texts of any length are read whole; on an empty table only base spans are used; other columns pass through
+``redacted`` and are not touched.
 """
 
 from __future__ import annotations
@@ -27,6 +29,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from leafspark.llm import store
+from leafspark.llm.quality_rules import let
+
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL = r"[A-Za-z0-9._%+-]"
 
@@ -56,11 +61,6 @@ CONTEXT = 24
 CHUNK = 256
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """body(value) with value evaluated once a row, also where body uses it in a nested lambda."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _running(values: Column) -> Column:
     """Sums of the values before each one; in chunks, so that appending stays cheap."""
 
@@ -241,23 +241,92 @@ def boost(x: np.ndarray, y: np.ndarray, rounds: int = 12, depth: int = 3, shrink
     return trees
 
 
-def fit(docs: DataFrame, text: str = "text", sample_rows: int = 20_000, precision: float = 0.95, seed: int = 5) -> Model:
-    """Trees and thresholds from about ``sample_rows`` texts and at most 5 candidates for each of them."""
-    n = docs.count()
-    sample = docs.select(F.col(text).alias("t"))
-    if n > sample_rows:
-        sample = sample.sample(sample_rows / n, seed)
-    both = sample.filter(_has_any(F.col("t"))).select(base_spans(F.col("t")).alias("b"), candidates(F.col("t")).alias("c"))
-    same = lambda c: F.exists("b", lambda b: (b["start"] == c["start"]) & (b["end"] == c["end"]) & (b["kind"] == c["kind"]))
-    touch = lambda c: F.exists("b", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
-    told = F.filter("c", lambda c: same(c) | (~touch(c) & ~c["valid"]))
-    rows = both.select(F.explode(F.transform(told, lambda c: F.struct(c["kind"].alias("k"), c["x"].alias("x"), same(c).alias("y")))).alias("r"))
-    got = rows.select("r.*").limit(5 * sample_rows).collect()
+PHRASES = {
+    "email": ("mail", "write to", "contact", "e-mail:", "address", "reach me at", "", "from"),
+    "ip": ("host", "server", "ip", "login from", "address", ""),
+    "card": ("card", "visa", "paid with", "credit card", "order 12", "ref 7", "payment", "", "no 4"),
+    "phone": ("call", "tel", "phone", "mobile", "fax", "contact", "ring", "", "or"),
+}
+OTHER = ("version", "build", "section", "chapter", "part no", "serial", "isbn", "total", "on", "id", "invoice", "sum of", "", "rows", "grid")
+
+
+def _luhn_digit(digits: list[int]) -> int:
+    total = sum(sum(divmod(2 * d, 10)) if k % 2 == 0 else d for k, d in enumerate(reversed(digits)))
+    return -total % 10
+
+
+def planted(items: int, seed: int) -> list[tuple[int, int, str, str]]:
+    """(kind, 1 or 0 for a look-alike, phrase before, item), as many of each as make ``items`` in all."""
+    rng = np.random.default_rng(seed)
+    pick = lambda xs: xs[rng.integers(len(xs))]
+    digits = lambda n: "".join(map(str, rng.integers(0, 10, n)))
+    name = lambda: "".join(rng.choice(list("abcdefghijklmnoprstuvw"), rng.integers(3, 9)))
+    area = lambda: f"{rng.integers(201, 990)}"
+
+    def email() -> str:
+        at, dot = pick(("@", " (at) ", " [at] ", "(at)", "[at]")), pick((".", ".", " (dot) ", " [dot] "))
+        return f"{name()}{pick(('', '.', '_', '-'))}{name()}{at}{name()}{dot if at != '@' else '.'}{pick(('org', 'com', 'net', 'de'))}"
+
+    def card() -> str:
+        body = [4, *map(int, rng.integers(0, 10, 14))]
+        d = "".join(map(str, [*body, _luhn_digit(body)]))
+        return pick((d, f"{d[:4]} {d[4:8]} {d[8:12]} {d[12:]}", f"{d[:4]}-{d[4:8]}-{d[8:12]}-{d[12:]}"))
+
+    def phone() -> str:
+        a, b, c, sep = area(), digits(3), digits(4), pick((" ", "-", "."))
+        return pick((f"({a}) {b}-{c}", f"{a}{sep}{b}{sep}{c}", f"+1 ({a}) {b}-{c}", f"+{rng.integers(20, 99)} {a} {b} {c}"))
+
+    def other_email() -> str:
+        return pick((f"{name()} [at] {name()}", f"look (at) {name()} and", f"{name()}(at){digits(2)}", f"{name()} (at) {name()}, {name()}"))
+
+    def other_ip() -> str:
+        return pick((f"{digits(1)}.{digits(2)}.{digits(1)}", f"{digits(1)}.{digits(1)}.{digits(3)}.{rng.integers(256, 999)}"))
+
+    def other_card() -> str:
+        body = list(map(int, rng.integers(1, 10, 15)))
+        wrong = (_luhn_digit(body) + int(rng.integers(1, 10))) % 10
+        d = "".join(map(str, [*body, wrong]))
+        return pick((d, f"{d[:4]} {d[4:8]} {d[8:12]} {d[12:]}", f"2024{digits(8)}{wrong}"[:12] + str(wrong), f"{digits(4)}-{digits(4)}-{digits(4)}"))
+
+    def other_phone() -> str:
+        return pick((f"{digits(3)} {digits(3)} {digits(4)}", f"{digits(3)}.{digits(3)}.{digits(4)}", f"{area()}-{digits(3)}-{digits(4)}", f"+{digits(1)}.{digits(3)}.{digits(4)}"))
+
+    made = ((email, other_email), (lambda: ".".join(str(v) for v in rng.integers(0, 256, 4)), other_ip), (card, other_card), (phone, other_phone))
+    out = []
+    for i in range(items):
+        k, good = i % len(KINDS), i // len(KINDS) % 2
+        out.append((k, good, pick(PHRASES[KINDS[k]] if good else OTHER), made[k][1 - good]()))
+    return out
+
+
+def fit(
+    docs: DataFrame, text: str = "text", sample_rows: int = 10_000, items: int = 2400, precision: float = 0.95, seed: int = 5
+) -> Model:
+    """Trees and thresholds from ``items`` planted in about ``sample_rows`` texts, and no more than twice that."""
+    spark = docs.sparkSession
+    rows = docs.select(F.col(text).alias("t")).filter("t is not null")
+    sample = store.bounded_sample(rows, "t", sample_rows, docs.count())
+    plants = spark.createDataFrame([(i, *p) for i, p in enumerate(planted(items, seed))], "i int, k int, y int, phrase string, item string")
+    number = F.pmod(F.xxhash64("t", F.lit("plant")), F.lit(items)).cast("int")
+    left = F.rtrim(F.regexp_replace(F.substring("t", 1, 160), r"\S*$", ""))
+    right = F.regexp_replace(F.substring("t", 161, 160), r"^\S*", "")
+    near = sample.select(left.alias("left"), right.alias("right"), number.alias("i")).join(F.broadcast(plants), "i")
+    lead = F.concat_ws(" ", F.col("left"), F.when(F.col("phrase") != "", F.col("phrase")), F.lit(""))
+    around = near.select("i", "k", "y", lead.alias("lead"), "item", "right")
+    start = F.length("lead").cast("long")
+    both = around.select(
+        "i", "k", "y", start.alias("a"), (start + F.length("item")).alias("z"), candidates(F.concat("lead", "item", "right")).alias("c")
+    )
+    over = F.filter("c", lambda c: (c["start"] < F.col("z")) & (F.col("a") < c["end"]))
+    found = both.select("i", "k", "y", "a", "z", F.explode(over).alias("c"))
+    whole = (F.col("c.start") == F.col("a")) & (F.col("c.end") == F.col("z")) & (F.col("c.kind") == F.col("k"))
+    told = found.filter(whole | (F.col("y") == 0))  # what meets only a part of an item tells nothing
+    got = told.select("i", F.col("c.kind").alias("k"), F.col("c.x").alias("x"), (whole & (F.col("y") == 1)).alias("y")).collect()
     x = np.array([r["x"] for r in got], dtype=float).reshape(-1, len(FEATURES))
     y, kind = np.array([r["y"] for r in got], dtype=float), np.array([r["k"] for r in got])
     if not y.any():
         return Model()
-    apart = np.arange(len(y)) % 2 == 1
+    apart = np.array([r["i"] for r in got]) // (2 * len(KINDS)) % 2 == 1
     out = Model(boost(x[~apart], y[~apart]))
     score = sum((t.predict(x) for t in out.trees), np.zeros(len(y)))
     for k in range(len(KINDS)):
@@ -268,7 +337,7 @@ def fit(docs: DataFrame, text: str = "text", sample_rows: int = 20_000, precisio
         last = np.ones(len(t), dtype=bool)
         last[:-1] = s[order][1:] < s[order][:-1]  # a threshold takes all of a score
         if (good & last).any():
-            out.thresholds[k] = max(float(s[order][np.flatnonzero(good & last).max()]), 0.0)
+            out.thresholds[k] = float(s[order][np.flatnonzero(good & last).max()])
     return out
 
 
@@ -308,13 +377,13 @@ def written(spans: Column) -> Column:
     return F.array_join(F.transform(spans, one), ",")
 
 
-def detected(docs: DataFrame, key: str = "doc_id", text: str = "text", sample_rows: int = 20_000) -> DataFrame:
+def detected(docs: DataFrame, key: str = "doc_id", text: str = "text", sample_rows: int = 10_000) -> DataFrame:
     """doc_id, base and spans of every row of docs."""
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("t"))
     return with_spans(rows, fit(rows, "t", sample_rows), "t", "base", "spans").select("doc_id", "base", "spans")
 
 
-def redacted(docs: DataFrame, text: str = "text", sample_rows: int = 20_000) -> DataFrame:
+def redacted(docs: DataFrame, text: str = "text", sample_rows: int = 10_000) -> DataFrame:
     """docs with every span replaced by its kind in brackets; touching and overlapping spans become one."""
     model = fit(docs, text, sample_rows)
     boxed = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), docs[f"`{text}`"].alias("t"))

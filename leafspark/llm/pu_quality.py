@@ -7,9 +7,15 @@ descends the exact risk, taking the step that raises the negative part wherever
 The class prior is the ratio of the unlabelled to the positive share above a score, where that ratio's
 upper bound is least (read from histograms of all scores), and the scorer is fitted again with it.
 
-A logistic curve, fitted on a bounded sample of labelled training rows, maps f to a probability.
+The probability of quality at a value of f is the prior times the density of positives over the density of all
+text there. A logistic curve g is fitted to that ratio by least squares, whose risk, E_all[g^2] / 2 less the prior
+times E_positives[g], needs the two histograms only. So positives, unlabelled text and the prior give scores and
+probabilities alike; negative labels are not read at all.
 
-Defined cases: null and empty texts are scored as texts without words; equal texts score equally; rows with
+Features are figures of a text (shares of character classes, repetition, length) and the shares of its words in
+hashed buckets, all from the whole text.
+
+Defined cases: null and empty texts are scored as texts without words, very long texts whole; equal texts score equally; rows with
 null or repeated ids are scored as they are, and of several labels for an id the least holds; without
 positives every score is 0.5; an empty table gives an empty result; other columns are not read.
 """
@@ -24,13 +30,27 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leafspark.llm import store
-from leafspark.llm.text_features import DIM, features
+from leafspark.llm import store, text_features
+from leafspark.llm.shingles import word_hashes
 
+BUCKET_BITS = 6
+DIM = text_features.DIM + (1 << BUCKET_BITS)
 SCORE_BINS = 400
 SCORE_SPAN = 2.0
 
 
+def features(text: str | None) -> np.ndarray:
+    """DIM numbers in [0, 1], the last one 1: hashed word shares, then figures."""
+    out = np.zeros(DIM)
+    raw = (text or "").encode("utf-8", "surrogatepass")
+    _, words = word_hashes(np.frombuffer(raw + b" ", np.uint8))
+    if len(words):
+        n = np.bincount((words >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), minlength=1 << BUCKET_BITS)
+        out[: 1 << BUCKET_BITS] = np.sqrt(n / len(words))
+    out[1 << BUCKET_BITS :] = text_features.features(text)
+    return out
+
+
 @dataclass
 class Moments:
     """Mean and mean outer product of features."""
@@ -40,15 +60,19 @@ class Moments:
     second: np.ndarray
 
 
+def logistic(f: np.ndarray, slope: float, middle: float) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(slope * (f - middle), -30, 30)))
+
+
 @dataclass
 class Model:
     weights: np.ndarray
     prior: float
     slope: float
-    shift: float
+    middle: float
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * (x @ self.weights) + self.shift, -30, 30)))
+        return logistic(x @ self.weights, self.slope, self.middle)
 
 
 def held_out(key: str) -> Column:
@@ -65,7 +89,7 @@ def featured(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
             yield pa.RecordBatch.from_arrays([b.column("k"), pa.array(made, pa.binary())], names=["doc_id", "x"])
 
     rows = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"))
-    return store.cut(rows.mapInArrow(run, "doc_id long, x binary"), "features")
+    return store.cut(rows.mapInArrow(store.tidy(run), "doc_id long, x binary"), "features")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -84,7 +108,7 @@ def moments(table: DataFrame) -> Moments:
         cols = [pa.array(i, pa.int32()), pa.array(j, pa.int32()), pa.array(total[i, j])]
         yield pa.RecordBatch.from_arrays(cols, names=["i", "j", "v"])
 
-    sums = table.select("x").mapInArrow(run, "i int, j int, v double").groupBy("i", "j").agg(F.sum("v").alias("v"))
+    sums = table.select("x").mapInArrow(store.tidy(run), "i int, j int, v double").groupBy("i", "j").agg(F.sum("v").alias("v"))
     total = np.zeros((DIM, DIM))
     for r in sums.collect():
         total[r["i"], r["j"]] = total[r["j"], r["i"]] = r["v"]
@@ -98,8 +122,9 @@ def _squared(m: Moments, w: np.ndarray, sign: int) -> tuple[float, np.ndarray]:
     return (1 - 2 * sign * m.first @ w + w @ mw) / 4, (mw - sign * m.first) / 2
 
 
-def fit_weights(pos: Moments, all_: Moments, prior: float, ridge: float = 5e-3, steps: int = 3000) -> np.ndarray:
-    """Weights of least non-negative risk, from a preconditioned descent."""
+def fit_weights(pos: Moments, all_: Moments, prior: float, least_ridge: float = 5e-3, steps: int = 3000) -> np.ndarray:
+    """Weights of least non-negative risk, from a preconditioned descent; few positives get a firmer ridge."""
+    ridge = least_ridge + 0.25 * DIM / max(pos.n, 1)
     shape = np.linalg.inv(all_.second + pos.second + (1e-3 + 2 * ridge) * np.eye(DIM))
     w = np.zeros(DIM)
     for _ in range(steps):
@@ -126,16 +151,16 @@ def _histogram(table: DataFrame, w: np.ndarray) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(SCORE_BINS)), pa.array(total)], names=["b", "n"])
 
     out = np.zeros(SCORE_BINS)
-    for r in table.select("x").mapInArrow(run, "b long, n long").groupBy("b").agg(F.sum("n").alias("n")).collect():
+    for r in table.select("x").mapInArrow(store.tidy(run), "b long, n long").groupBy("b").agg(F.sum("n").alias("n")).collect():
         out[r["b"]] = r["n"]
     return out
 
 
-def prior_of(pos: np.ndarray, all_: np.ndarray, doubt: float = 0.1) -> float:
-    """Ratio of shares above the score where its upper bound, at that much doubt, is least."""
+def prior_of(pos: np.ndarray, all_: np.ndarray, n: int, doubt: float = 0.1) -> float:
+    """Ratio of shares above the score where its upper bound, at that much doubt, is least; n positives were scored."""
     up = lambda h: np.cumsum(h[::-1])[::-1] / max(h.sum(), 1)
     p, u = up(pos), up(all_)
-    slack = sum(np.sqrt(np.log(4 / doubt) / (2 * max(h.sum(), 1))) for h in (pos, all_))
+    slack = np.sqrt(np.log(4 / doubt) / (2 * max(n, 1)))
     ok = p > slack
     if not ok.any():
         return 0.5
@@ -143,38 +168,50 @@ def prior_of(pos: np.ndarray, all_: np.ndarray, doubt: float = 0.1) -> float:
     return float(np.clip(u[best] / p[best], 0.05, 0.99))
 
 
-def calibrate(f: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of a logistic curve, with the targets of Platt against overconfidence."""
-    n1, n0 = y.sum(), len(y) - y.sum()
-    if not n1 or not n0:
-        return 4.0, 0.0
-    t = np.where(y == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
-    x, ab = np.column_stack([f, np.ones(len(f))]), np.array([1.0, 0.0])
-    for _ in range(100):
-        p = 1 / (1 + np.exp(-np.clip(x @ ab, -30, 30)))
-        h = (x * (p * (1 - p))[:, None]).T @ x + 1e-6 * np.eye(2)
-        step = np.linalg.solve(h, x.T @ (p - t))
-        ab -= np.clip(step, -5, 5)
-        if np.abs(step).max() < 1e-8:
-            break
-    return float(ab[0]), float(ab[1])
+def curve(pos: np.ndarray, all_: np.ndarray, prior: float) -> tuple[float, float]:
+    """Slope and middle of the logistic curve of least squared-loss risk, on a grid that narrows."""
+    f = -SCORE_SPAN + 2 * SCORE_SPAN / SCORE_BINS * (np.arange(SCORE_BINS) + 0.5)
+    p, u = prior * pos / max(pos.sum(), 1), all_ / max(all_.sum(), 1)
+    slope, middle, wide = 8.0, 0.0, 1.0
+    for _ in range(6):
+        slopes = np.clip(slope * 8.0 ** np.linspace(-wide, wide, 25), 1.0, 60.0)
+        middles = middle + wide * np.linspace(-1.5, 1.5, 61)
+        g = logistic(f, slopes[:, None, None], middles[None, :, None])
+        risk = g**2 @ u / 2 - g @ p
+        i, j = np.unravel_index(np.argmin(risk), risk.shape)
+        slope, middle, wide = slopes[i], middles[j], wide / 3
+    return float(slope), float(middle)
+
+
+def fit(table: DataFrame, labels: DataFrame) -> Model:
+    """labels: doc_id and quality of training rows, of which those of quality 1 are the trusted positives.
+
+    Prior and curve are read from positives that the scorer at hand was not fitted to: each half of them is scored
+    by the weights of the other half. The weights that are kept are of all positives.
+    """
+    known = labels.groupBy("doc_id").agg(F.min("quality").alias("quality")).filter("quality = 1")
+    half = (F.xxhash64("doc_id") % 2 == 0).alias("half")
+    positives = store.cut(table.join(known, "doc_id", "left_semi").select("x", half), "positives")
+    halves = [positives.filter("half"), positives.filter("not half")]
+    sums, all_ = [moments(h) for h in halves], moments(table)
+    n = sum(m.n for m in sums)
+    if not n:
+        return Model(np.zeros(DIM), 0.5, 1.0, 0.0)
+    pos = Moments(n, sum(m.first * m.n for m in sums) / n, sum(m.second * m.n for m in sums) / n)
+    if not all(m.n for m in sums):
+        sums, halves = [pos, pos], [positives, positives.limit(0)]
 
+    def scores(prior: float) -> tuple[np.ndarray, np.ndarray]:
+        """Histograms of positives and of all text, by the weights of the other half."""
+        crossed = [fit_weights(m, all_, prior) for m in reversed(sums)]
+        return (
+            sum(_histogram(h, w) for h, w in zip(halves, crossed)),
+            sum(_histogram(table, w) * m.n for m, w in zip(reversed(sums), crossed)),
+        )
 
-def fit(table: DataFrame, labels: DataFrame, sample_rows: int = 20_000) -> Model:
-    """labels: doc_id and quality of trusted training rows; about sample_rows of them, and twice that at most, fit the curve."""
-    known = labels.filter(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    trusted = store.cut(table.join(known, "doc_id").select("doc_id", "x", "quality"), "trusted")
-    positives = trusted.filter("quality = 1")
-    pos, all_ = moments(positives), moments(table)
-    if not pos.n:
-        return Model(np.zeros(DIM), 0.5, 1.0, 0.0)
-    weights = fit_weights(pos, all_, 0.5)
-    prior = prior_of(_histogram(positives, weights), _histogram(table, weights))
-    weights = fit_weights(pos, all_, prior)
-    rows = store.bounded_sample(trusted, "doc_id", sample_rows, trusted.count()).select("x", "quality").collect()
-    f = np.frombuffer(b"".join(r["x"] for r in rows), "<f4").reshape(-1, DIM).astype(float) @ weights
-    slope, shift = calibrate(f, np.array([r["quality"] for r in rows]))
-    return Model(weights, prior, slope, shift)
+    prior = prior_of(*scores(0.5), n)
+    prior = prior_of(*(last := scores(prior)), n)
+    return Model(fit_weights(pos, all_, prior), prior, *curve(*last, prior))
 
 
 def scored(table: DataFrame, model: Model) -> DataFrame:
@@ -185,4 +222,4 @@ def scored(table: DataFrame, model: Model) -> DataFrame:
             score = model.score(_matrix(b.column("x")))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(score)], names=["doc_id", "score"])
 
-    return table.mapInArrow(run, "doc_id long, score double")
+    return table.mapInArrow(store.tidy(run), "doc_id long, score double")

@@ -2,25 +2,28 @@
 
 A rule is a condition that rejects a text. Rules are evaluated inside one CASE, whose branches stop at the
 first rejection, so a dear rule runs only on what the cheap ones left. The order is learned: on a bounded
-sample each rule's cost (seconds a row) and selectivity (share rejected) are measured, and rules are sorted
-by rejections per second. The order changes the time, never the verdict.
+hashed sample each rule's cost (CPU seconds a row, of its tasks alone) and selectivity (share rejected) are
+measured, and rules are sorted by rejections per second. The order changes the time, never the verdict.
+A figure that is wanted for every row anyway costs its rule nothing more; rules read it instead of the text.
 
 Nothing shuffles: every figure of a text is computed where the text is read.
 
 Defined cases: a null or empty text, or one of white space only, has no words and fails ``few_words``;
-copies get equal verdicts; an empty table gives an empty result; other columns pass through, and helper
+copies get equal verdicts; texts of any length are read whole; an empty table gives an empty result; other columns pass through, and helper
 columns are never added beside them, so names cannot clash.
 """
 
 from __future__ import annotations
 
-import time
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from leafspark.llm import store
+
 SPACE = " \t\n\x0b\x0c\r"
 SPACES = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
@@ -118,27 +121,40 @@ def figures(text: Column) -> dict[str, Column]:
     }
 
 
+Figure = Callable[[str], Column]
+
+
 @dataclass(frozen=True)
 class Rule:
-    """rejects: of a text and its number of words, true where the text goes."""
+    """rejects: of a text and its figures by name, true where the text goes."""
 
     name: str
-    rejects: Callable[[Column, Column], Column]
+    rejects: Callable[[Column, Figure], Column]
 
 
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 
+
+def _duplicates(text: Column, figure: Figure) -> Column:
+    return let(worded_lines(text), lambda x: 100 * _copies(x) > 30 * F.size(x))
+
+
 RULES = (
-    Rule("few_words", lambda t, n: n < MIN_WORDS),
-    Rule("repeated_words", lambda t, n: 100 * repeated_words(t) > MAX_REPEATED_PERCENT * n),
-    Rule("symbols", lambda t, n: 10 * symbol_count(t) > n),
-    Rule("duplicate_lines", lambda t, n: let(worded_lines(t), lambda x: 100 * _copies(x) > 30 * F.size(x))),
-    Rule("word_length", lambda t, n: let(word_chars(t), lambda c: (c < 2 * n) | (c > 20 * n))),
-    Rule("shouting", lambda t, n: 5 * symbol_count(t, "!") > n),
+    Rule("few_words", lambda t, f: f("n_words") < MIN_WORDS),
+    Rule("repeated_words", lambda t, f: 100 * f("n_repeat_words") > MAX_REPEATED_PERCENT * f("n_words")),
+    Rule("symbols", lambda t, f: 10 * f("n_symbols") > f("n_words")),
+    Rule("duplicate_lines", _duplicates),
+    Rule("word_length", lambda t, f: let(f("word_chars"), lambda c: (c < 2 * f("n_words")) | (c > 20 * f("n_words")))),
+    Rule("shouting", lambda t, f: 5 * symbol_count(t, "!") > f("n_words")),
 )
 
 
+def figure(text: Column, known: dict[str, Column]) -> Figure:
+    """Figures by name: those that are known, and the others from the text where a rule asks for them."""
+    return lambda name: known[name] if name in known else figures(text)[name]
+
+
 @dataclass(frozen=True)
 class Measured:
     rule: Rule
@@ -151,37 +167,69 @@ class Measured:
         return (self.rejected + 1e-6) / max(self.seconds, 1e-9)
 
 
-def measure(docs: DataFrame, text: str, rules: tuple[Rule, ...], sample_rows: int) -> list[Measured]:
-    """Cost and selectivity of each rule on at most ``sample_rows`` rows, by worth, the best first."""
-    sample = docs.select(F.col(text).alias("t"), word_count(F.col(text)).alias("n")).limit(sample_rows).persist()
+def _cpu(df: DataFrame) -> tuple[int, float]:
+    """The only number of a one-row table, and the CPU seconds of the tasks that made it."""
+    sc, group = df.sparkSession.sparkContext, f"leafspark-{uuid.uuid4().hex}"
+    before = sc.getLocalProperty("spark.jobGroup.id")
+    sc.setLocalProperty("spark.jobGroup.id", group)
     try:
-        rows = sample.count()
+        n = df.collect()[0][0]
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", before)
+    context = sc._jsc.sc()
+    context.listenerBus().waitUntilEmpty()
+    tracker, used = sc.statusTracker(), 0
+    for job in tracker.getJobIdsForGroup(group):
+        for stage in tracker.getJobInfo(job).stageIds:
+            used += context.statusStore().lastStageAttempt(stage).executorCpuTime()
+    return n, used / 1e9
+
+
+def measure(
+    docs: DataFrame, text: str, rules: tuple[Rule, ...], sample_rows: int, known: tuple[str, ...] = ("n_words",)
+) -> list[Measured]:
+    """Cost and selectivity of each rule on about ``sample_rows`` rows, by worth, the best first.
+
+    ``known`` names the figures that are ready when a rule runs. The cost of reading the sample is taken off.
+    """
+    spark = docs.sparkSession
+    with store.scratch(spark):
+        rows = docs.select(F.col(text).alias("t"))
+        rows = store.bounded_sample(rows, "t", sample_rows, docs.count())
+        made = figures(F.col("t"))
+        sample = store.cut(rows.select("t", *[made[k].alias(k) for k in known]), "sample")
+        n = max(sample.count(), 1)
+        f = figure(F.col("t"), {k: F.col(k) for k in known})
+
+        def cost(rejects: Column) -> tuple[int, float]:
+            def run() -> tuple[int, float]:  # a new plan each time: Spark would reuse what the old one shuffled
+                return _cpu(sample.select(F.count_if(rejects), F.count_if(F.length("t") < 0), *[F.max(k) for k in known]))
+
+            run()  # compiles
+            return min((run() for _ in range(2)), key=lambda x: x[1])
+
+        _, reading = cost(F.lit(False))
         out = []
         for rule in rules:
-            counted = sample.select(F.count_if(rule.rejects(F.col("t"), F.col("n"))).alias("n"))
-            counted.collect()  # compiles
-            began = time.perf_counter()
-            n = counted.collect()[0]["n"]
-            out.append(Measured(rule, (time.perf_counter() - began) / max(rows, 1), n / max(rows, 1)))
-    finally:
-        sample.unpersist()
+            hits, seconds = cost(F.coalesce(rule.rejects(F.col("t"), f), F.lit(True)))
+            out.append(Measured(rule, max(seconds - reading, 0.0) / n, hits / n))
     return sorted(out, key=lambda m: -m.worth)
 
 
-def verdict(text: Column, ordered: list[Rule]) -> Column:
+def verdict(text: Column, ordered: list[Rule], known: dict[str, Column] | None = None) -> Column:
     """Name of the first rule that rejects, null where none does; words are counted once for all rules."""
 
-    def first(n: Column) -> Column:
-        out = F.lit(None).cast("string")
+    def first(ready: dict[str, Column]) -> Column:
+        f, out = figure(text, ready), F.lit(None).cast("string")
         for rule in reversed(ordered):
-            out = F.when(F.coalesce(rule.rejects(text, n), F.lit(True)), F.lit(rule.name)).otherwise(out)
+            out = F.when(F.coalesce(rule.rejects(text, f), F.lit(True)), F.lit(rule.name)).otherwise(out)
         return out
 
-    return let(word_count(text), first)
+    return first(known) if known else let(word_count(text), lambda n: first({"n_words": n}))
 
 
 def cascade(
-    docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, sample_rows: int = 500
+    docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, sample_rows: int = 1000
 ) -> DataFrame:
     """The rows that no rule rejects, with the columns of docs."""
     ordered = [m.rule for m in measure(docs, text, rules, sample_rows)]
@@ -193,37 +241,23 @@ def judged(
     text: str = "text",
     key: str = "doc_id",
     rules: tuple[Rule, ...] = RULES,
-    sample_rows: int = 500,
+    sample_rows: int = 1000,
 ) -> DataFrame:
-    """Each row's key, figures, base_failed, and kept by the cascade.
+    """Each row's key, figures, base_failed, the first rule that rejects it, and whether the cascade keeps it.
 
-    The figures are wanted for every row here, so rules read them instead of the text again.
+    The five figures are wanted for every row, so they are ready when the cascade begins. What else a rule needs of
+    the text is read inside its branch, only where no rule before it rejects.
     """
-    ordered = [m.rule.name for m in measure(docs, text, rules, sample_rows)]
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    ordered = [m.rule for m in measure(docs, text, rules, sample_rows, names)]
     out = docs.select(
         F.col(key).alias("doc_id"),
-        F.struct(
-            *[v.alias(k) for k, v in figures(F.col(text)).items()],
-            symbol_count(F.col(text), "!").alias("n_marks"),
-            F.size(worded_lines(F.col(text))).alias("n_lines"),
-        ).alias("f"),
+        F.col(text).alias("t"),
+        F.struct(*[figures(F.col(text))[k].alias(k) for k in names]).alias("f"),
     )
-    f = lambda name: F.col(f"f.{name}")
-    known = {
-        "few_words": f("n_words") < MIN_WORDS,
-        "repeated_words": 100 * f("n_repeat_words") > MAX_REPEATED_PERCENT * f("n_words"),
-        "symbols": 10 * f("n_symbols") > f("n_words"),
-        "duplicate_lines": 100 * f("n_dup_lines") > 30 * f("n_lines"),
-        "word_length": (f("word_chars") < 2 * f("n_words")) | (f("word_chars") > 20 * f("n_words")),
-        "shouting": 5 * f("n_marks") > f("n_words"),
-    }
-    rejected = F.lit(False)
-    for name in reversed(ordered):
-        rejected = F.when(known[name], F.lit(True)).otherwise(rejected)
-    base = known["few_words"] | known["repeated_words"]
-    return out.select(
-        "doc_id",
-        *[f(k).alias(k) for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
-        base.alias("base_failed"),
-        (~base & ~rejected).alias("kept"),
+    f = {k: F.col(f"f.{k}") for k in names}
+    base = (f["n_words"] < MIN_WORDS) | (100 * f["n_repeat_words"] > MAX_REPEATED_PERCENT * f["n_words"])
+    out = out.select(
+        "doc_id", *[f[k].alias(k) for k in names], base.alias("base_failed"), verdict(F.col("t"), ordered, f).alias("rejected_by")
     )
+    return out.withColumn("kept", ~F.col("base_failed") & F.col("rejected_by").isNull())

@@ -109,7 +109,7 @@ def op9_addressable_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.judged(table(spark, sf_dir, "documents"))
+    return quality_rules.judged(table(spark, sf_dir, "documents")).drop("rejected_by")
 
 
 def queries() -> dict[str, Query]:

@@ -11,8 +11,9 @@ import gc
 import tempfile
 import time
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,10 +45,29 @@ def small_batches(spark: SparkSession, rows: int = 512) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
-def cut(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
+_OPEN: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables cut inside are deleted at the end; those cut with keep=True live as long as what is around it."""
+    paths: list[str] = []
+    _OPEN.append(paths)
+    try:
+        yield
+    finally:
+        _OPEN.remove(paths)
+        for path in paths:
+            drop_path(spark, path)
+
+
+def cut(df: DataFrame, name: str, codec: str = "snappy", keep: bool = False) -> DataFrame:
     """Write df once and go on from the written table."""
     spark = df.sparkSession
     path = new_path(spark, name)
+    owners = _OPEN[:-1] if keep else _OPEN
+    if owners:
+        owners[-1].append(path)
     with small_batches(spark):
         df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -75,7 +95,6 @@ def give_back() -> None:
     """In a Python worker: return memory that the allocators hold but nothing uses."""
     import pyarrow as pa
 
-    gc.collect()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
@@ -83,6 +102,18 @@ def give_back() -> None:
         pass
 
 
+def tidy(run: Callable[[Iterable[Any]], Iterator[Any]]) -> Callable[[Iterable[Any]], Iterator[Any]]:
+    """A function of batches that gives its worker's memory back when a task ends; idle workers then hold little."""
+
+    def tidied(batches: Iterable[Any]) -> Iterator[Any]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return tidied
+
+
 def bounded_sample(df: DataFrame, key: str, rows: int, total: int) -> DataFrame:
     """About ``rows`` of ``total`` rows, by a hash of their key, and twice that at most; all if there are fewer.
 

@@ -87,6 +87,7 @@ class Encoder:
         with self.lock:
             if not self.users and self.known:
                 self._empty()
+                gc.collect()
                 give_back()
 
     def whole(self, text: str) -> np.ndarray:
