@@ -2,7 +2,12 @@
 
 Every stage takes all rows that its predecessor kept. The first four return the columns of documents: quality
 rules drop rows, near-duplicates leave one row a group, personal data is replaced in the text, and mixing
-drops or repeats rows. The last returns the pieces of packed sequences.
+drops rows. The last returns the pieces of packed sequences.
+
+Defined cases: a null or empty text fails the quality rules; very long texts are read whole; repeated rows are
+one group of near-duplicates, of which the rows of the least id stay; rows without an id link with nothing; an
+empty table, or one of which a stage keeps nothing, gives an empty result; further columns pass through the first
+four stages, whatever their names.
 """
 
 from __future__ import annotations
@@ -12,11 +17,9 @@ from pyspark.sql import functions as F
 
 from leafspark.llm import near_dedup, packing, pii, quality_rules, registry, soft_mixing, store
 
-#: Share of tokens that each domain of the labelled table shall have. The first keeps its tokens; shares of the
-#: others are upper bounds, so toxic text shrinks where there is more of it, and scarce toxic text shrinks nothing.
-MIX = {"good": 0.99, "toxic": 0.01}
-#: Rates this near to a whole number are that number: nearly certain documents are not put to the draw.
-SLACK = 0.2
+#: Shares of tokens of the domains of the labelled table. Documents likeliest of the first stay as they are; shares
+#: of the others are upper bounds, so poor and toxic text shrinks where there is more of it, and nothing else does.
+MIX = {"good": 0.989, "poor": 0.01, "toxic": 0.001}
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,13 +35,12 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    labels = registry.labelled_domains(registry.table(spark, sf_dir, "labels")).filter(F.col("domain").isin(list(MIX)))
+    labels = registry.labelled_domains(registry.table(spark, sf_dir, "labels"))
     model = soft_mixing.train(docs, labels, list(MIX))
     if model.weights is None:  # labels of fewer than two domains tell no document from another
         return docs
-    members = soft_mixing.memberships(docs, model)
-    fit = soft_mixing.fit_rates(members, list(MIX.values()), keep="first")
-    return soft_mixing.mixed(docs, model, fit, slack=SLACK)
+    members = soft_mixing.memberships(docs, model, carry=True)
+    return soft_mixing.mixed(members, soft_mixing.fit_rates(members, list(MIX.values()), keep="first"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,6 +56,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = store.cut(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    with store.scratch(spark):  # what stages leave goes when the last one is written
+        for name, stage in STAGES:
+            docs = store.cut(stage(spark, docs, sf_dir), name, keep=name == STAGES[-1][0])
+    return docs
