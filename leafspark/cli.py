@@ -58,24 +58,35 @@ def main(argv: list[str] | None = None) -> int:
         for r in analyze.suggested_hue(pages).orderBy("stem").collect():
             print(r["stem"], r["peak"], r["n"])
         return 0
-    result = planner.Book(spark, out, name).run(pages, _settings(args))
+    cfg = _settings(args)
+    result = planner.Book(spark, out, name).run(pages, cfg)
     os.makedirs(out, exist_ok=True)
     book = result.get("book", result[""])
     if args.command == "run":
         print(planner.report(result["records"]))
-        print(json.dumps(documents.write_pdf(book, None, os.path.join(out, f"{name}.pdf"))))
-    elif args.command == "diagnose":
+        path = os.path.join(out, f"{name}.pdf")
+        made = documents.write_pdf(book, None, path, cfg.pdf_dpi, compression=cfg.pdf_compression, quality=cfg.pdf_jpeg_quality)
+        print(json.dumps(made))
+        failed = result["records"].filter("status in ('failed', 'excluded')").count()
+        return 1 if failed and cfg.on_error == "stop" else 0
+    if args.command == "diagnose":
         print(diagnose.rendered(_records(result), args.json))
     elif args.command == "publish":
-        for r in documents.published(book).toLocalIterator():
-            with open(os.path.join(out, f"{r['stem']}.png"), "wb") as f:
-                f.write(r["png"])
+        documents.publish(book, os.path.join(out, "published"))
     elif args.command == "flipbook":
-        with open(os.path.join(out, "flipbook.json"), "w") as f:
-            json.dump(documents.flipbook(book), f)
+        documents.flipbook(book, os.path.join(out, "flipbook"), cfg.flipbook_max_width, cfg.flipbook_jpeg_quality, cfg.flipbook_title or name)
     else:
-        rows = documents.viewer_model(_records(result)).orderBy("stem").collect()
-        model = [{"stem": r["stem"], "stages": [{"stage": x["stage"], "meta": x["record"]} for x in r["stages"]]} for r in rows]
+        sources = {}
+        for branch in ("", "book", "score"):
+            if branch in result:
+                sources |= documents.publish(result[branch], os.path.join(out, "images"))
+        rows = documents.viewer_model(_records(result)).orderBy("stem").toLocalIterator()
+        model = [
+            {"stem": r["stem"], "stages": [
+                {"stage": x["stage"], "meta": x["record"]} | ({"src": f"images/{src}"} if (src := sources.get((x["branch"], x["stage"], r["stem"]))) else {})
+                for x in r["stages"]
+            ]} for r in rows
+        ]
         with open(os.path.join(out, "compare.html"), "w") as f:
             f.write(documents.viewer_html(name, model))
     return 0

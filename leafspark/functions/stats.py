@@ -78,3 +78,21 @@ def circular_range(df: DataFrame, by: list[str], value: str, period: int) -> Dat
     return gaps.groupBy(*by).agg(
         F.round(period - F.greatest(F.coalesce(F.max("gap"), F.lit(0.0)), period - (F.max("v") - F.min("v"))), 6).alias("extent")
     )
+
+
+def least_squares(df: DataFrame, by: list[str], a: Column, b: Column, y: Column, names: tuple[str, str]) -> DataFrame:
+    """Coefficients of y = c1 * a + c2 * b by normal equations: five sums, one pass."""
+    m = df.select(*by, a.alias("a"), b.alias("b"), y.alias("y"))
+    total = lambda x, z: F.sum(F.col(x) * F.col(z)).alias(x + z)
+    s = m.groupBy(*by).agg(*[total(x, z) for x, z in ("aa", "ab", "bb", "ay", "by")])
+    det = F.col("aa") * F.col("bb") - F.col("ab") * F.col("ab")
+    return s.select(
+        *by,
+        ((F.col("ay") * F.col("bb") - F.col("by") * F.col("ab")) / det).alias(names[0]),
+        ((F.col("by") * F.col("aa") - F.col("ay") * F.col("ab")) / det).alias(names[1]),
+    )
+
+
+def half_median(value: Column, least: float) -> Column:
+    """Threshold at half a median, with a floor."""
+    return F.greatest(F.lit(float(least)), F.round(0.5 * F.median(value), 4))

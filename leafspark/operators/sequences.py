@@ -8,15 +8,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafspark.functions.stats import sample_size
+from leafspark.operators.tables import positions
 
 
 def even_sample(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
     """Rows at index trunc(i * (N - 1) / (n - 1)) of each group's order, with n by ``sample_size``.
 
-    The wanted indices come from an explode of n values, so only sampled rows join.
+    The wanted indices come from an explode of n values, so only sampled rows join; places come from counts of
+    ranges, so a hot group is spread.
     """
-    w = Window.partitionBy(*by).orderBy(*order)
-    numbered = df.withColumn("at", F.row_number().over(w) - 1)
+    numbered = positions(df, by, order, "at")
     sizes = df.groupBy(*by).agg(F.count("*").alias("total")).withColumn("n", sample_size(F.col("total")))
     index = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("i")
     wanted = sizes.filter("n > 0").select(*by, "total", "n", index).select(
@@ -72,11 +73,21 @@ def running_mean_clusters(values: Column, within: float) -> Column:
 def latest_before(left: DataFrame, right: DataFrame, key: str, at: str, when: str, value: str) -> DataFrame:
     """For each left row, the right row of its key with the greatest ``when`` not over ``at``.
 
-    An aggregate of the equi-join with the bound in its condition; ties go to the greater value.
+    Both sides lie in one order of time, and a left row takes the last right row before it: one shuffle, no pairs.
+    Ties go to the greater value.
     """
-    pairs = left.join(right, [key]).filter(F.col(when) <= F.col(at))
-    best = pairs.groupBy(*left.columns).agg(F.max(F.struct(when, value)).alias("best"))
-    return left.join(best, left.columns, "left").select(*left.columns, F.col(f"best.{when}").alias(when), F.col(f"best.{value}").alias(value))
+    rows = right.filter(F.col(when).isNotNull()).select(
+        key, F.col(when).cast("timestamp").alias("__t"), F.lit(0).alias("__side"), F.struct(when, value).alias("__best"),
+        F.lit(None).cast(left.select(F.struct(*left.columns)).schema[0].dataType).alias("__row"),
+    )
+    asks = left.select(
+        key, F.col(at).cast("timestamp").alias("__t"), F.lit(1).alias("__side"),
+        F.lit(None).cast(right.select(F.struct(when, value)).schema[0].dataType).alias("__best"), F.struct(*left.columns).alias("__row"),
+    )
+    order = Window.partitionBy(key).orderBy("__t", "__side", F.col(f"__best.{value}"))
+    last = F.last("__best", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    found = rows.unionByName(asks).withColumn("__found", last).filter("__side = 1")
+    return found.select("__row.*", F.col(f"__found.{when}").alias(when), F.col(f"__found.{value}").alias(value))
 
 
 def stale_from_change(df: DataFrame, by: list[str], order: str, changed: Column) -> DataFrame:

@@ -40,8 +40,16 @@ class Config:
     deskew_max_angle: float = 5.0
     deskew_step: float = 0.1
     deskew_skip_below: float = 0.1
+    split_spreads: bool = False
+    dewarp: bool = False
+    enhance: tuple[str, ...] = ()
+    normalize: bool = False
     pdf_dpi: int = 300
+    pdf_compression: str = "jpeg"
+    pdf_jpeg_quality: int = 90
     flipbook_max_width: int = 1600
+    flipbook_jpeg_quality: int = 85
+    flipbook_title: str = ""
     lens_k1: float = 0.0
     lens_k2: float = 0.0
     profile: str = "full"
@@ -74,18 +82,42 @@ READS = {
     "gentle_crop": ("crop_margin",), "content_area": ("content_inset", "content_padding", "content_feather", *INK),
     "staff_extract": INK, "deskew": ("deskew_max_angle", "deskew_step", "deskew_skip_below", *INK),
     "perspective": ("perspective_max_skew", "perspective_max_crop", "perspective_near_rect", "perspective_max_tilt"),
+    "dewarp": ("dewarp", *INK), "enhance": ("enhance",), "normalize": ("normalize",), "split": ("split_spreads",),
 }
 #: Sections of the file, and the prefix of their settings.
 SECTIONS = {"ink": "ink_", "stitch": "stitch_", "page_detect": "page_", "gentle_crop": "crop_", "content_area": "content_",
             "perspective": "perspective_", "deskew": "deskew_", "pdf": "pdf_", "flipbook": "flipbook_", "lens": "lens_", "pipeline": ""}
-ALIASES = {"angle_max": "deskew_max_angle", "no_stitch_pages": "no_stitch"}
+# Names that settings files in use have for some settings.
+ALIASES = {
+    "angle_max": "deskew_max_angle", "angle_step": "deskew_step", "skip_threshold": "deskew_skip_below", "no_stitch_pages": "no_stitch",
+    "staff_color_hue": "ink_hue", "staff_color_range": "ink_hue_range", "staff_saturation_min": "ink_sat_min", "staff_value_min": "ink_val_min",
+    "channel_diff_rg": "ink_diff", "ratio_threshold": "stitch_ratio", "min_overlap_frac": "stitch_min_overlap", "inlier_ratio": "stitch_min_inliers",
+    "retake_overlap_threshold": "retake_overlap", "min_area_frac": "page_min_area", "expand_frac": "page_expand",
+    "border_confidence_threshold": "border_confidence", "margin_frac": "crop_margin", "inset_fallback": "content_inset",
+    "margin_padding": "content_padding", "feather_sigma": "content_feather", "max_skew_deg": "perspective_max_skew",
+    "max_crop_frac": "perspective_max_crop", "near_rect_threshold_deg": "perspective_near_rect", "max_tilt_deg": "perspective_max_tilt",
+    "lens_distortion_k1": "lens_k1", "lens_distortion_k2": "lens_k2",
+}
+#: Sections that only describe a book, or belong to stages that are not part of this engine; their keys are left alone.
+DESCRIPTIVE = ("layout", "condition", "ocr", "omr", "photography")
+
+
+#: Steps of enhancement by the names of their switches.
+STEPS = {"white_balance": "white_balance", "illumination_normalization": "flat_background", "clahe": "local_contrast",
+         "denoise": "denoise", "sharpen": "sharpen", "color_cast_correction": "white_balance"}
 
 
 def _named(section: str, values: dict) -> tuple[dict, list[str]]:
     known, out, odd = {f.name for f in fields(Config)} - {"branches"}, {}, []
     for key, value in values.items():
         name = next((n for n in (SECTIONS.get(section, "") + key, ALIASES.get(key, ""), key) if n in known), None)
-        if name is None:
+        if section == "pipeline" and key.startswith("skip_"):
+            out["skip"] = (*out.get("skip", ()), *[key.removeprefix("skip_")] * bool(value))
+        elif section == "enhance" and isinstance(value, bool):
+            out["enhance"] = (*out.get("enhance", ()), *[STEPS[key]] * (value and key in STEPS))
+        elif name is None and section in DESCRIPTIVE:
+            continue
+        elif name is None:
             odd.append(f"{section}.{key}")
         else:
             out[name] = tuple(tuple(v) if isinstance(v, list) else v for v in value) if isinstance(value, list) else value
@@ -137,6 +169,8 @@ def dump(values: dict[str, dict]) -> str:
 def skipped(stage: str, cfg: Config) -> bool:
     if stage in MANDATORY:
         return False
+    if stage in ("dewarp", "enhance", "normalize") and not getattr(cfg, stage):
+        return True
     return stage in cfg.skip or stage in PROFILES.get(cfg.profile, ()) or (stage == "lens_correct" and cfg.lens_k1 == 0 and cfg.lens_k2 == 0)
 
 

@@ -7,12 +7,11 @@ includes that of the phase before it, differs from the stored one.
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafspark.plans import stages
+from leafspark.operators import tables
+from leafspark.plans import normalize, stages
 from leafspark.plans.config import Config, skipped, stage_hash
 
 PHASES = (("", ("preprocess",)), ("", stages.COMMON), ("book", stages.BOOK), ("score", stages.SCORE))
@@ -37,8 +36,7 @@ class Book:
         """Pages of a phase's input that it has not yet given a result."""
         if not self._exists(path):
             return pages
-        had = self.spark.read.schema(pages.schema).parquet(path).select("stem").distinct()
-        return pages.join(had, "stem", "left_anti").select(pages.columns)
+        return tables.without(pages, self.spark.read.schema(pages.schema).parquet(path), "stem")
 
     def phase(self, pages: DataFrame, branch: str, names: list[str], cfg: Config, upstream: str) -> tuple[DataFrame, str]:
         """Results of a phase, computed for the pages that lack them, and its hash."""
@@ -55,7 +53,9 @@ class Book:
         """Results of the common phases and of both branches."""
         if cfg.preview:
             pages = pages.filter(F.col("page_seq") <= cfg.preview)
-        results, digest, out = pages, "", {}
+        if cfg.split_spreads:
+            pages = normalize.split_spreads(pages)
+        results, digest, out = pages, stage_hash("split", cfg) if cfg.split_spreads else "", {}
         records = []
         for k, (branch, names) in enumerate(PHASES):
             own = cfg.for_branch(branch) if branch else cfg
@@ -63,8 +63,14 @@ class Book:
             if not names:
                 continue
             if branch:
-                made, _ = self.phase(results, branch, names, own, digest)
+                made, last = self.phase(results, branch, names, own, digest)
                 out[branch] = stages.last_of(made)
+                if branch == "book" and not skipped("normalize", own):
+                    path = self._path(branch, "normalize", stage_hash("normalize", own, last))
+                    if not self._exists(path):
+                        normalize.normalized(out[branch]).write.parquet(path)
+                    out[branch] = self.spark.read.schema(pages.schema).parquet(path)
+                    records.append(out[branch])
             else:
                 made, digest = self.phase(results, branch, names, own, digest)
                 results = stages.last_of(made)
@@ -95,8 +101,3 @@ def counters(records: DataFrame) -> DataFrame:
 def report(records: DataFrame) -> str:
     rows = counters(records).orderBy("stage", "branch").collect()
     return "\n".join(f"{r['branch'] or 'common':8} {r['stage']:18} {r['processed']:6} {r['failed']:6} {r['excluded']:6}" for r in rows)
-
-
-def unavailable(stage: str) -> str:
-    """Record of a stage that needs a program or a model which is not part of this engine."""
-    return json.dumps({"stage": stage, "status": "not available"})

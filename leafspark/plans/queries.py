@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from leafspark.functions import geometry as geo
 from leafspark.functions import raster, stats
-from leafspark.operators import fields, sequences
+from leafspark.operators import fields, sequences, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -169,17 +169,12 @@ def stage_counters(spark: SparkSession, sf: str) -> DataFrame:
 @query("""SELECT o_orderpriority, o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders
 GROUP BY ROLLUP (o_orderpriority, o_orderstatus)""")
 def end_report(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "orders").rollup("o_orderpriority", "o_orderstatus").agg(
-        F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total")
-    )
+    return tables.rolled_up(table(spark, sf, "orders"), ["o_orderpriority", "o_orderstatus"], "o_totalprice")
 
 
 @query("SELECT lang, count(*) AS n, sum(n_chars)::BIGINT AS bytes, sum(n_chars) * 3 > 1000000 AS too_large FROM documents GROUP BY 1")
 def size_budget(spark: SparkSession, sf: str) -> DataFrame:
-    total = F.sum("n_chars")
-    return table(spark, sf, "documents").groupBy("lang").agg(
-        F.count("*").alias("n"), total.alias("bytes"), (total * 3 > 1_000_000).alias("too_large")
-    )
+    return tables.disk_budget(table(spark, sf, "documents"), ["lang"], "n_chars", 3, F.lit(1_000_000))
 
 
 @query("""
@@ -210,15 +205,7 @@ SELECT vec_id, other AS nearest, d, d2, d < 0.75 * d2 AS matched FROM r WHERE rn
 def two_nearest_ratio(spark: SparkSession, sf: str) -> DataFrame:
     """Two nearest of one's own label, with the ratio test; the queries are the ids divisible by 100."""
     e = table(spark, sf, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("v"))
-    a, b = e.filter("vec_id % 100 = 0").alias("a"), e.alias("b")
-    squares = F.zip_with("a.v", "b.v", lambda x, y: (x - y) * (x - y))
-    pairs = a.join(b, (F.col("a.label") == F.col("b.label")) & (F.col("a.vec_id") != F.col("b.vec_id"))).select(
-        F.col("a.vec_id").alias("vec_id"), F.col("b.vec_id").alias("other"),
-        F.round(F.aggregate(squares, F.lit(0.0), lambda s, x: s + x), 6).alias("d"),
-    )
-    w = Window.partitionBy("vec_id").orderBy("d", "other")
-    ranked = pairs.withColumn("rn", F.row_number().over(w)).withColumn("d2", F.lead("d").over(w)).filter("rn = 1")
-    return ranked.select("vec_id", F.col("other").alias("nearest"), "d", "d2", (F.col("d") < 0.75 * F.col("d2")).alias("matched"))
+    return tables.nearest_two(e.filter("vec_id % 100 = 0"), e, "label", "vec_id", "v", 0.75)
 
 
 @query("SELECT min(doc_id) AS doc_id, count(*) AS copies FROM documents GROUP BY text")
@@ -256,27 +243,23 @@ def best_of_group(spark: SparkSession, sf: str) -> DataFrame:
 @query("""SELECT user_id, count(*) FILTER (event_type = 'click') AS click, count(*) FILTER (event_type = 'error') AS error,
 count(*) FILTER (event_type = 'view') AS view FROM events GROUP BY 1""")
 def outer_grid(spark: SparkSession, sf: str) -> DataFrame:
-    """Stem by stage matrix; the stages are given, so no pass looks for them."""
-    kinds = ["click", "error", "view"]
-    return table(spark, sf, "events").groupBy("user_id").pivot("event_type", kinds).count().na.fill(0, kinds)
+    return tables.grid(table(spark, sf, "events"), "user_id", "event_type", ["click", "error", "view"])
 
 
 @query("SELECT d.doc_id, d.lang, l.quality, l.toxic FROM documents d LEFT JOIN labels l USING (doc_id)")
 def image_sidecar_join(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "lang")
-    return docs.join(table(spark, sf, "labels").select("doc_id", "quality", "toxic"), "doc_id", "left")
+    return tables.with_records(docs, table(spark, sf, "labels").select("doc_id", "quality", "toxic"), "doc_id")
 
 
 @query("SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 1)")
 def resume_anti(spark: SparkSession, sf: str) -> DataFrame:
-    done = table(spark, sf, "labels").filter("quality = 1").select("doc_id")
-    return table(spark, sf, "documents").select("doc_id", "lang").join(done, "doc_id", "left_anti")
+    return tables.without(table(spark, sf, "documents").select("doc_id", "lang"), table(spark, sf, "labels").filter("quality = 1"), "doc_id")
 
 
 @query("SELECT doc_id, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)")
 def resume_semi(spark: SparkSession, sf: str) -> DataFrame:
-    done = table(spark, sf, "labels").filter("quality = 1").select("doc_id")
-    return table(spark, sf, "documents").select("doc_id", "lang").join(done, "doc_id", "left_semi")
+    return tables.within(table(spark, sf, "documents").select("doc_id", "lang"), table(spark, sf, "labels").filter("quality = 1"), "doc_id")
 
 
 @query("""SELECT o_custkey, o_orderkey, max(CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END) OVER
@@ -318,7 +301,13 @@ def gap_cluster_borders(spark: SparkSession, sf: str) -> DataFrame:
     return out.filter("weight >= 30").select("l_suppkey", "cluster", "n", F.round("weight", 2).alias("weight"), F.round(F.col("position") * F.col("weight"), 2).alias("moment"))
 
 
-@query()
+@query("""
+WITH RECURSIVE v AS (SELECT l_orderkey, l_quantity::DOUBLE q, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_quantity) i FROM lineitem),
+r AS (SELECT l_orderkey, i, 0 AS c, 1 AS n, q AS total FROM v WHERE i = 1 UNION ALL
+SELECT v.l_orderkey, v.i, CASE WHEN abs(v.q - r.total / r.n) <= 5 THEN r.c ELSE r.c + 1 END,
+CASE WHEN abs(v.q - r.total / r.n) <= 5 THEN r.n + 1 ELSE 1 END, CASE WHEN abs(v.q - r.total / r.n) <= 5 THEN r.total + v.q ELSE v.q END
+FROM r JOIN v ON v.l_orderkey = r.l_orderkey AND v.i = r.i + 1)
+SELECT l_orderkey, c::INT AS cluster, max(n)::INT AS n, round(max_by(total, n) / max(n), 6) AS mean FROM r GROUP BY l_orderkey, c""")
 def running_mean_cluster(spark: SparkSession, sf: str) -> DataFrame:
     values = F.array_sort(F.collect_list("l_quantity"))
     rows = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(values.alias("v"))
@@ -330,16 +319,16 @@ def running_mean_cluster(spark: SparkSession, sf: str) -> DataFrame:
 (SELECT item_id * 3 FROM benchmark) AND url NOT LIKE '%page=2%'""")
 def exclude_list(spark: SparkSession, sf: str) -> DataFrame:
     gone = table(spark, sf, "benchmark").select((F.col("item_id") * 3).alias("page_id"))
-    rows = table(spark, sf, "pages").filter(~F.col("url").contains("page=2")).select("page_id", F.regexp_replace("url", r"[.][^./]*$", "").alias("stem"))
-    return rows.join(gone, "page_id", "left_anti")
+    rows = table(spark, sf, "pages").filter(~F.col("url").contains("page=2")).select("page_id", tables.stem(F.col("url")).alias("stem"))
+    return tables.without(rows, gone, "page_id")
 
 
 @query("""SELECT p.page_id FROM pages p WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = p.page_id)
 AND NOT EXISTS (SELECT 1 FROM benchmark b WHERE b.item_id = p.page_id)""")
 def not_in_either(spark: SparkSession, sf: str) -> DataFrame:
     pages = table(spark, sf, "pages").select("page_id")
-    other = table(spark, sf, "labels").select(F.col("doc_id").alias("page_id")).unionByName(table(spark, sf, "benchmark").select(F.col("item_id").alias("page_id")))
-    return pages.join(other, "page_id", "left_anti")
+    known = tables.without(pages, table(spark, sf, "labels").select(F.col("doc_id").alias("page_id")), "page_id")
+    return tables.without(known, table(spark, sf, "benchmark").select(F.col("item_id").alias("page_id")), "page_id")
 
 
 GRAY = "least(255, greatest(0, floor(v::DOUBLE * 256 + 128)))"
@@ -365,38 +354,29 @@ def classify_page(spark: SparkSession, sf: str) -> DataFrame:
 @query("""SELECT row_number() OVER (ORDER BY part, id) AS place, part, id FROM (
 SELECT 0 AS part, o_orderkey AS id FROM orders WHERE o_orderstatus = 'P' UNION ALL SELECT 1, event_id FROM events WHERE event_type = 'error')""")
 def ordered_union(spark: SparkSession, sf: str) -> DataFrame:
-    """Pages, then annex, numbered; numbers come from counts of ordered ranges, not from one task."""
-    book = table(spark, sf, "orders").filter("o_orderstatus = 'P'").select(F.lit(0).alias("part"), F.col("o_orderkey").alias("id"))
-    annex = table(spark, sf, "events").filter("event_type = 'error'").select(F.lit(1).alias("part"), F.col("event_id").alias("id"))
-    both = book.unionByName(annex).withColumn("range", F.floor(F.col("id") / 1000))
-    up = Window.orderBy("part", "range").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = both.groupBy("part", "range").agg(F.count("*").alias("n"))
-    before = sizes.select("part", "range", F.coalesce(F.sum("n").over(up), F.lit(0)).alias("before"))
-    inside = F.row_number().over(Window.partitionBy("part", "range").orderBy("id"))
-    return both.join(before, ["part", "range"]).select((F.col("before") + inside).alias("place"), "part", "id")
+    """Pages, then annex, numbered."""
+    book = table(spark, sf, "orders").filter("o_orderstatus = 'P'").select(F.col("o_orderkey").alias("id"))
+    annex = table(spark, sf, "events").filter("event_type = 'error'").select(F.col("event_id").alias("id"))
+    return tables.in_order([book, annex], "id")
 
 
 @query("SELECT c_nationkey AS nation FROM customer EXCEPT SELECT s_nationkey FROM supplier WHERE s_acctbal > 5000")
 def set_except(spark: SparkSession, sf: str) -> DataFrame:
-    s = table(spark, sf, "supplier").filter("s_acctbal > 5000").select("s_nationkey")
-    return table(spark, sf, "customer").select(F.col("c_nationkey").alias("nation")).exceptAll(s).distinct().join(
-        s.distinct(), F.col("nation") == F.col("s_nationkey"), "left_anti"
-    )
+    s = table(spark, sf, "supplier").filter("s_acctbal > 5000").select(F.col("s_nationkey").alias("nation"))
+    return tables.without(table(spark, sf, "customer").select(F.col("c_nationkey").alias("nation")).distinct(), s, "nation")
 
 
 @query("SELECT c_nationkey AS nation FROM customer INTERSECT SELECT s_nationkey FROM supplier WHERE s_acctbal > 5000")
 def set_intersect(spark: SparkSession, sf: str) -> DataFrame:
-    s = table(spark, sf, "supplier").filter("s_acctbal > 5000").select("s_nationkey")
-    return table(spark, sf, "customer").select(F.col("c_nationkey").alias("nation")).intersect(s)
+    s = table(spark, sf, "supplier").filter("s_acctbal > 5000").select(F.col("s_nationkey").alias("nation"))
+    return tables.within(table(spark, sf, "customer").select(F.col("c_nationkey").alias("nation")).distinct(), s, "nation")
 
 
 @query("SELECT DISTINCT o_orderkey % 3 AS spec, n::INT AS n FROM orders, range(0, 9) t(n) WHERE CASE o_orderkey % 3 WHEN 0 THEN n IN (0, 2, 3, 4) WHEN 1 THEN n = 7 ELSE n BETWEEN 1 AND 3 OR n = 8 END")
 def stage_spec_expand(spark: SparkSession, sf: str) -> DataFrame:
     spec = F.element_at(F.array(F.lit("0,2-4"), F.lit("7"), F.lit("8,1-3,2")), (F.col("spec") + 1).cast("int"))
     rows = table(spark, sf, "orders").select((F.col("o_orderkey") % 3).alias("spec")).distinct()
-    part = rows.select("spec", F.explode(F.split(spec, ",")).alias("p")).select("spec", F.split("p", "-").alias("b"))
-    n = F.sequence(F.get("b", F.lit(0)).cast("int"), F.element_at("b", -1).cast("int"))
-    return part.select("spec", F.explode(n).alias("n")).distinct()
+    return rows.select("spec", F.explode(tables.expanded_ranges(spec)).alias("n"))
 
 
 @query("""SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN 1.5 WHEN c_nationkey % 2 = 0 THEN 3.0 ELSE 5.0 END::DOUBLE AS max_angle,
@@ -405,7 +385,7 @@ def config_merge(spark: SparkSession, sf: str) -> DataFrame:
     """Given options over file over defaults, key by key, as maps."""
     given = F.when(F.col("c_custkey") % 5 == 0, F.create_map(F.lit("max_angle"), F.lit(1.5)))
     file = F.when(F.col("c_nationkey") % 2 == 0, F.create_map(F.lit("max_angle"), F.lit(3.0)))
-    made = F.coalesce(given["max_angle"], file["max_angle"], F.lit(5.0))
+    made = tables.layered("max_angle", F.lit(5.0), given, file)
     return table(spark, sf, "customer").select("c_custkey", made.alias("max_angle"), given.isNotNull().alias("overridden"))
 
 
@@ -531,17 +511,9 @@ WITH m AS (SELECT l_returnflag, l_quantity / 50 a, (l_quantity / 50) * (l_quanti
 s AS (SELECT l_returnflag, sum(a * a) aa, sum(a * b) ab, sum(b * b) bb, sum(a * y) ay, sum(b * y) byy FROM m GROUP BY 1)
 SELECT l_returnflag, round((ay * bb - byy * ab) / (aa * bb - ab * ab), 5) AS k1, round((byy * aa - ay * ab) / (aa * bb - ab * ab), 5) AS k2 FROM s""")
 def radial_fit(spark: SparkSession, sf: str) -> DataFrame:
-    """Least squares of two coefficients by normal equations: five sums, one pass."""
     a = F.col("l_quantity") / 50
-    m = table(spark, sf, "lineitem").select("l_returnflag", a.alias("a"), (a * a).alias("b"), F.col("l_discount").alias("y"))
-    total = lambda x, y: F.sum(F.col(x) * F.col(y)).alias(x + y)
-    s = m.groupBy("l_returnflag").agg(*[total(x, y) for x, y in ("aa", "ab", "bb", "ay", "by")])
-    det = F.col("aa") * F.col("bb") - F.col("ab") * F.col("ab")
-    return s.select(
-        "l_returnflag",
-        F.round((F.col("ay") * F.col("bb") - F.col("by") * F.col("ab")) / det, 5).alias("k1"),
-        F.round((F.col("by") * F.col("aa") - F.col("ay") * F.col("ab")) / det, 5).alias("k2"),
-    )
+    out = stats.least_squares(table(spark, sf, "lineitem"), ["l_returnflag"], a, a * a, F.col("l_discount"), ("k1", "k2"))
+    return out.select("l_returnflag", F.round("k1", 5).alias("k1"), F.round("k2", 5).alias("k2"))
 
 
 @query("""
@@ -563,35 +535,28 @@ def border_confidence(spark: SparkSession, sf: str) -> DataFrame:
 GROUP BY 1 HAVING 100 * count(*) FILTER (event_type = 'error') > 20 * count(*)""")
 def fallback_review(spark: SparkSession, sf: str) -> DataFrame:
     """Stages in which over a fifth of the pages fell back."""
-    bad, n = F.count_if(F.col("event_type") == "error"), F.count("*")
-    out = table(spark, sf, "events").groupBy("user_id").agg(bad.alias("bad"), n.alias("n")).filter(100 * F.col("bad") > 20 * F.col("n"))
-    return out.select("user_id", F.round(100.0 * F.col("bad") / F.col("n"), 4).alias("percent"))
+    return tables.in_review(table(spark, sf, "events"), ["user_id"], F.col("event_type") == "error")
 
 
 @query("""SELECT p_partkey, part FROM (SELECT p_partkey, CASE WHEN p_size > 25 THEN ['left', 'right'] ELSE ['whole'] END AS parts FROM part), unnest(parts) t(part)""")
 def spread_split(spark: SparkSession, sf: str) -> DataFrame:
-    parts = F.when(F.col("p_size") > 25, F.array(F.lit("left"), F.lit("right"))).otherwise(F.array(F.lit("whole")))
-    return table(spark, sf, "part").select("p_partkey", F.explode(parts).alias("part"))
+    return table(spark, sf, "part").select("p_partkey", F.explode(tables.spread_parts(F.col("p_size") > 25)).alias("part"))
 
 
 @query("""SELECT o_custkey, o_orderkey, n AS printed, row_number() OVER (PARTITION BY o_custkey ORDER BY n, o_orderkey)::INT AS place,
 count(*) OVER (PARTITION BY o_custkey, n) > 1 AS duplicate FROM (SELECT o_custkey, o_orderkey, o_orderkey % 7 AS n FROM orders)""")
 def printed_page_order(spark: SparkSession, sf: str) -> DataFrame:
-    """Order by printed number, numbers that occur twice flagged."""
     rows = table(spark, sf, "orders").select("o_custkey", "o_orderkey", (F.col("o_orderkey") % 7).alias("printed"))
-    order = Window.partitionBy("o_custkey").orderBy("printed", "o_orderkey")
-    same = F.count("*").over(Window.partitionBy("o_custkey", "printed")) > 1
-    return rows.select("*", F.row_number().over(order).alias("place"), same.alias("duplicate"))
+    return tables.printed_order(rows, "o_custkey", "printed", "o_orderkey")
 
 
 @query("""WITH s AS (SELECT DISTINCT user_id % 2 AS branch, event_id % 16 AS n FROM events)
 SELECT branch, max(n) AS n, printf('%02d_stage', max(n)) AS stage FROM s WHERE n < 14 GROUP BY 1""")
 def latest_stage(spark: SparkSession, sf: str) -> DataFrame:
     """Highest stage below 14 that each branch has."""
-    n = (F.col("event_id") % 16).alias("n")
-    rows = table(spark, sf, "events").select((F.col("user_id") % 2).alias("branch"), n).distinct()
-    named = rows.withColumn("stage", F.concat(F.lpad(F.col("n").cast("string"), 2, "0"), F.lit("_stage")))
-    return named.filter("n < 14").groupBy("branch").agg(F.max("n").alias("n"), F.max_by("stage", "n").alias("stage"))
+    name = F.concat(F.lpad((F.col("event_id") % 16).cast("string"), 2, "0"), F.lit("_stage"))
+    rows = table(spark, sf, "events").select((F.col("user_id") % 2).alias("branch"), name.alias("stage"))
+    return tables.latest_stage(rows, "branch", 14).select("branch", F.col("number").cast("long").alias("n"), "stage")
 
 
 @query("""WITH c AS (SELECT * FROM (VALUES ('STEEL', 0.01), ('BRASS', 0.02), ('TIN', 0.03)) v(name, k1))
@@ -599,17 +564,15 @@ SELECT p_partkey, coalesce(k1, 0.0)::DOUBLE AS k1 FROM part LEFT JOIN c ON conta
 def lens_lookup(spark: SparkSession, sf: str) -> DataFrame:
     """Coefficient by substring match with a table of three rows, nought where nothing matches."""
     lenses = spark.createDataFrame([("STEEL", 0.01), ("BRASS", 0.02), ("TIN", 0.03)], "name string, k1 double")
-    out = table(spark, sf, "part").join(F.broadcast(lenses), F.contains("p_type", "name"), "left")
-    return out.select("p_partkey", F.coalesce("k1", F.lit(0.0)).alias("k1"))
+    return tables.by_substring(table(spark, sf, "part").select("p_partkey", "p_type"), "p_type", lenses, "name", "k1", 0.0).drop("p_type")
 
 
 @query("""SELECT o_orderkey, coalesce(CASE WHEN o_orderkey % 5 = 0 THEN 'osd' END, CASE WHEN o_orderkey % 3 = 0 THEN 'title' END,
 CASE WHEN o_orderkey % 2 = 0 THEN 'spine' END, 'none') AS method FROM orders""")
 def polarity_cascade(spark: SparkSession, sf: str) -> DataFrame:
-    """First method of a priority order that answers."""
     k = F.col("o_orderkey")
-    tries = [F.when(k % n == 0, F.lit(name)) for n, name in ((5, "osd"), (3, "title"), (2, "spine"))]
-    return table(spark, sf, "orders").select("o_orderkey", F.coalesce(*tries, F.lit("none")).alias("method"))
+    tries = [(name, k % n == 0) for n, name in ((5, "osd"), (3, "title"), (2, "spine"))]
+    return table(spark, sf, "orders").select("o_orderkey", tables.first_answer(tries, "none").alias("method"))
 
 
 @query("""SELECT label, greatest(20, round(0.5 * median(m), 4))::DOUBLE AS sat_min, greatest(40, round(0.5 * median(x), 4))::DOUBLE AS val_min FROM (
@@ -620,8 +583,7 @@ def ink_thresholds(spark: SparkSession, sf: str) -> DataFrame:
     v = F.transform("embedding", lambda x: (x.cast("double") + 0.5) * 255)
     mean = F.aggregate(v, F.lit(0.0), lambda a, x: a + x) / F.size(v)
     rows = table(spark, sf, "embeddings").select("label", mean.alias("m"), F.array_max(v).alias("x"))
-    floor = lambda c, least: F.greatest(F.lit(float(least)), F.round(0.5 * F.median(c), 4))
-    return rows.groupBy("label").agg(floor("m", 20).alias("sat_min"), floor("x", 40).alias("val_min"))
+    return rows.groupBy("label").agg(stats.half_median(F.col("m"), 20).alias("sat_min"), stats.half_median(F.col("x"), 40).alias("val_min"))
 
 
 @query("""SELECT s.o_orderstatus AS stage, e.event_type AS kind, count(e.event_id) AS n FROM (SELECT DISTINCT o_orderstatus FROM orders) s
@@ -630,4 +592,4 @@ GROUP BY ALL""")
 def stage_matrix(spark: SparkSession, sf: str) -> DataFrame:
     """Counts by stage and kind; the stage of an event follows from its id, so one aggregation fills the matrix."""
     stage = F.element_at(F.array(F.lit("O"), F.lit("F"), F.lit("P")), (F.col("event_id") % 3 + 1).cast("int"))
-    return table(spark, sf, "events").groupBy(stage.alias("stage"), F.col("event_type").alias("kind")).agg(F.count("*").alias("n"))
+    return tables.counted(table(spark, sf, "events").select(stage.alias("stage"), F.col("event_type").alias("kind")), ["stage", "kind"])
\ No newline at end of file

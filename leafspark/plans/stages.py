@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafspark.functions.kernels import color, features, morph, page, warp
+from leafspark.functions.kernels import enhance as enhance_kernels
 from leafspark.operators import sequences
 from leafspark.plans.config import Config
 from leafspark.sources.images import PAGE, as_row, pixels
@@ -190,15 +191,23 @@ def perspective(img: np.ndarray, meta: dict, cfg: Config) -> tuple[np.ndarray, d
     return warp.warp(img, m, tw, th, fill), out | {"method": "warp", "background_color": np.atleast_1d(fill).tolist()}
 
 
+def dewarp(img: np.ndarray, meta: dict, cfg: Config) -> tuple[np.ndarray, dict]:
+    return enhance_kernels.dewarped(img, **cfg.ink()), dict(meta) | {"stage": "dewarp"}
+
+
+def enhance(img: np.ndarray, meta: dict, cfg: Config) -> tuple[np.ndarray, dict]:
+    return enhance_kernels.enhanced(img, cfg.enhance), dict(meta) | {"stage": "enhance", "steps": list(cfg.enhance)}
+
+
 #: Number, error class and function of the stages that work page by page.
 PAGE_STAGES: dict[str, tuple[int, str, Stage]] = {
     "preprocess": (0, "skippable", preprocess), "orientation": (2, "critical", orientation),
     "lens_correct": (3, "skippable", lens_correct), "page_detect": (4, "skippable", page_detect),
     "gentle_crop": (5, "skippable", gentle_crop), "content_area": (6, "skippable", content_area),
     "staff_extract": (7, "skippable", staff_extract), "deskew": (8, "skippable", deskew),
-    "perspective": (9, "skippable", perspective),
+    "perspective": (9, "skippable", perspective), "dewarp": (10, "skippable", dewarp), "enhance": (12, "skippable", enhance),
 }
-COMMON, BOOK, SCORE = ("orientation", "lens_correct", "page_detect", "gentle_crop"), ("deskew", "perspective"), ("content_area", "staff_extract", "deskew")
+COMMON, BOOK, SCORE = ("orientation", "lens_correct", "page_detect", "gentle_crop"), ("deskew", "perspective", "dewarp", "enhance"), ("content_area", "staff_extract", "deskew")
 
 
 def run_pages(pages: DataFrame, names: list[str], cfg: Config) -> DataFrame:
@@ -284,15 +293,13 @@ def page_groups(shots: DataFrame, cfg: Config) -> DataFrame:
             yield pd.DataFrame(rows, columns=["book", "stem", "page_seq", "focus", "h", "w", "points", "bits", "link"])
 
     linked = pairs.mapInPandas(match, f"book string, stem string, page_seq long, focus double, {DESCRIBED}, link boolean")
-    order = Window.partitionBy("book").orderBy("page_seq")
-    number = F.sum(F.when(F.col("link"), 0).otherwise(1)).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    auto = linked.withColumn("group_no", number)
+    auto = sequences.neighbour_groups(linked, ["book"], ["page_seq"], F.col("link"))
     first = F.first("stem").over(Window.partitionBy("book", "group_no").orderBy("page_seq"))
     out = auto.withColumn("group_id", first)
     if cfg.stitch_groups:
-        manual = {stem: group[0] for group in cfg.stitch_groups for stem in group}
-        known = F.create_map(*[F.lit(v) for kv in manual.items() for v in kv])
-        out = out.withColumn("group_id", F.coalesce(known[F.col("stem")], F.col("stem")))
+        named = [(stem, group[0]) for group in cfg.stitch_groups for stem in group]
+        manual = F.broadcast(shots.sparkSession.createDataFrame(named, "stem string, manual_group string"))
+        out = sequences.with_manual_groups(auto, "stem", "group_id", manual)
 
     def retakes(g: pd.DataFrame) -> pd.DataFrame:
         g = g.sort_values("page_seq")

@@ -3,61 +3,103 @@
 from __future__ import annotations
 
 import json
+import os
 import zlib
+from collections.abc import Iterable, Iterator
 from html import escape
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, Window
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafspark.functions.kernels import warp
-from leafspark.sources.images import encode_png, pixels
-
-
-def pdf(pages: list[np.ndarray], dpi: int = 300) -> bytes:
-    """One page an image, losslessly packed, sized by the resolution."""
-    objects: list[bytes] = [b"<< /Type /Catalog /Pages 2 0 R >>", b""]
-    kids = []
-    for img in pages:
-        h, w = img.shape[:2]
-        space = "DeviceRGB" if img.ndim == 3 else "DeviceGray"
-        data = zlib.compress(np.ascontiguousarray(img[..., ::-1] if img.ndim == 3 else img).tobytes(), 6)
-        n = len(objects)
-        x, y = w * 72 / dpi, h * 72 / dpi
-        draw = f"q {x:.4f} 0 0 {y:.4f} 0 0 cm /I Do Q".encode()
-        objects += [
-            f"<< /Type /Page /Parent 2 0 R /MediaBox [0 0 {x:.4f} {y:.4f}] /Resources << /XObject << /I {n + 2} 0 R >> >> /Contents {n + 3} 0 R >>".encode(),
-            f"<< /Type /XObject /Subtype /Image /Width {w} /Height {h} /ColorSpace /{space} /BitsPerComponent 8 /Filter /FlateDecode /Length {len(data)} >>\nstream\n".encode() + data + b"\nendstream",
-            f"<< /Length {len(draw)} >>\nstream\n".encode() + draw + b"\nendstream",
-        ]
-        kids.append(f"{n + 1} 0 R")
-    objects[1] = f"<< /Type /Pages /Kids [{' '.join(kids)}] /Count {len(kids)} >>".encode()
-    out, places = bytearray(b"%PDF-1.4\n%\xe2\xe3\xcf\xd3\n"), []
-    for k, body in enumerate(objects):
-        places.append(len(out))
-        out += f"{k + 1} 0 obj\n".encode() + body + b"\nendobj\n"
-    table = "".join(f"{p:010d} 00000 n \n" for p in places)
-    tail = f"xref\n0 {len(objects) + 1}\n0000000000 65535 f \n{table}trailer\n<< /Size {len(objects) + 1} /Root 1 0 R >>\nstartxref\n{len(out)}\n%%EOF\n"
-    return bytes(out + tail.encode())
-
-
-def write_pdf(book: DataFrame, annex: DataFrame | None, path: str, dpi: int = 300, exclude: list[str] | None = None) -> dict:
-    """Book pages, then score annex, each in page order, as one file; pages stream to the driver one by one."""
-    parts = [book] + ([annex] if annex is not None else [])
-    images, counts = [], []
-    for part in parts:
-        kept = part.filter("data is not null and status <> 'unreadable'")
+from leafspark.operators import tables
+from leafspark.sources import images
+from leafspark.sources.images import pixels
+
+
+class PdfFile:
+    """A PDF written page by page: what is held are the places of its objects, not their bytes."""
+
+    def __init__(self, path: str, dpi: int = 300):
+        self.out, self.dpi = open(path, "wb"), dpi  # noqa: SIM115 closed by close()
+        self.places: dict[int, int] = {}
+        self.kids: list[int] = []
+        self.out.write(b"%PDF-1.4\n%\xe2\xe3\xcf\xd3\n")
+
+    def _object(self, number: int, *body: bytes) -> None:
+        self.places[number] = self.out.tell()
+        for part in (f"{number} 0 obj\n".encode(), *body, b"\nendobj\n"):
+            self.out.write(part)
+
+    def add(self, width: int, height: int, channels: int, data: bytes, coding: str) -> None:
+        """One page an image, sized by the resolution; coding is DCTDecode (a JPEG file) or FlateDecode."""
+        n = 3 + 3 * len(self.kids)
+        x, y = width * 72 / self.dpi, height * 72 / self.dpi
+        space = "DeviceRGB" if channels == 3 else "DeviceGray"
+        self._object(n, f"<< /Type /Page /Parent 2 0 R /MediaBox [0 0 {x:.4f} {y:.4f}] /Resources << /XObject << /I {n + 1} 0 R >> >> /Contents {n + 2} 0 R >>".encode())
+        head = f"<< /Type /XObject /Subtype /Image /Width {width} /Height {height} /ColorSpace /{space} /BitsPerComponent 8 /Filter /{coding} /Length {len(data)} >>\nstream\n"
+        self._object(n + 1, head.encode(), data, b"\nendstream")
+        draw = f"q {x:.4f} 0 0 {y:.4f} 0 0 cm /I Do Q"
+        self._object(n + 2, f"<< /Length {len(draw)} >>\nstream\n{draw}\nendstream".encode())
+        self.kids.append(n)
+
+    def close(self) -> int:
+        """Size of the finished file."""
+        self._object(1, b"<< /Type /Catalog /Pages 2 0 R >>")
+        self._object(2, f"<< /Type /Pages /Kids [{' '.join(f'{k} 0 R' for k in self.kids)}] /Count {len(self.kids)} >>".encode())
+        start = self.out.tell()
+        table = "".join(f"{self.places[k]:010d} 00000 n \n" for k in sorted(self.places))
+        n = len(self.places) + 1
+        self.out.write(f"xref\n0 {n}\n0000000000 65535 f \n{table}trailer\n<< /Size {n} /Root 1 0 R >>\nstartxref\n{start}\n%%EOF\n".encode())
+        size = self.out.tell()
+        self.out.close()
+        return size
+
+
+def flate(pages: DataFrame) -> DataFrame:
+    """As ``images.as_files``, with raw pixels packed losslessly."""
+
+    def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            raw = [(r, pixels(r)) for r in f.to_dict("records")]
+            made = [zlib.compress(np.ascontiguousarray(i[..., ::-1] if i.ndim == 3 else i).tobytes(), 6) for _, i in raw]
+            yield pd.DataFrame([(r["stem"], r["page_seq"], r["width"], r["height"], r["channels"], d) for (r, _), d in zip(raw, made)],
+                               columns=["stem", "page_seq", "width", "height", "channels", "file"])
+
+    kept = pages.filter("data is not null and status <> 'unreadable'")
+    return kept.mapInPandas(run, "stem string, page_seq long, width int, height int, channels int, file binary")
+
+
+def write_pdf(
+    book: DataFrame, annex: DataFrame | None, path: str, dpi: int = 300, exclude: list[str] | None = None,
+    compression: str = "jpeg", quality: int = 90,
+) -> dict:
+    """Book pages, then score annex, each in page order, as one file.
+
+    Executors encode the pages; what reaches the driver is one encoded page after the other, each written at once.
+    """
+    if compression not in ("jpeg", "flate"):
+        raise ValueError("compression is jpeg or flate")
+    coding = "DCTDecode" if compression == "jpeg" else "FlateDecode"
+    out, counts = PdfFile(path, dpi), []
+    for part in (book, annex):
+        if part is None:
+            continue
         if exclude:
-            kept = kept.filter(~F.col("stem").isin([e.rsplit(".", 1)[0] for e in exclude]) & ~F.col("stem").isin(exclude))
-        rows = [pixels(r.asDict()) for r in kept.orderBy("page_seq", "stem").toLocalIterator()]
-        images += rows
-        counts.append(len(rows))
-    if not images:
+            names = [(e,) for e in {*exclude, *[e.rsplit(".", 1)[0] for e in exclude]}]
+            part = tables.without(part, part.sparkSession.createDataFrame(names, "stem string"), "stem")
+        files = images.as_files(part, quality=quality, dpi=dpi) if compression == "jpeg" else flate(part)
+        n = 0
+        for r in files.orderBy("page_seq", "stem").toLocalIterator():
+            out.add(r["width"], r["height"], r["channels"], r["file"], coding)
+            n += 1
+        counts.append(n)
+    size = out.close()
+    if not sum(counts):
+        os.remove(path)
         return {"page_count": 0, "score_annex_count": 0, "file_size_bytes": 0, "message": "no pages"}
-    data = pdf(images, dpi)
-    with open(path, "wb") as f:
-        f.write(data)
-    return {"page_count": len(images), "score_annex_count": sum(counts[1:]), "compression": "flate", "dpi": dpi, "file_size_bytes": len(data)}
+    return {"page_count": sum(counts), "score_annex_count": sum(counts[1:]), "compression": compression, "dpi": dpi, "file_size_bytes": size}
 
 
 def read_sidecars(spark: SparkSession, folder: str) -> DataFrame:
@@ -83,14 +125,6 @@ def viewer_model(sidecars: DataFrame) -> DataFrame:
     return full.groupBy("stem").agg(F.array_sort(F.collect_list(item)).alias("stages"))
 
 
-def latest_stage(stages: DataFrame, before: int) -> DataFrame:
-    """For each branch, its highest stage number under ``before``: branch, number, stage."""
-    number = F.regexp_extract("stage", r"^(\d+)_", 1).cast("int")
-    return stages.withColumn("number", number).filter(F.col("number") < before).groupBy("branch").agg(
-        F.max("number").alias("number"), F.max_by("stage", "number").alias("stage")
-    )
-
-
 PAGE = """<!doctype html><meta charset="utf-8"><title>{title}</title><style>body{{font-family:sans-serif;margin:1em}}
 main{{display:flex;gap:1em;overflow:auto}}img{{max-height:80vh}}pre{{font-size:11px;max-width:30em;white-space:pre-wrap}}</style>
 <h1>{title}</h1><nav><button id="p">previous</button> <b id="n"></b> <button id="f">next</button></nav><main id="m"></main>
@@ -108,25 +142,40 @@ def viewer_html(title: str, images: list[dict]) -> str:
     return PAGE.format(title=escape(title), data=json.dumps(images).replace("</", "<\\/"))
 
 
-def published(pages: DataFrame, side: int = 1600) -> DataFrame:
-    """Keys and PNG bytes of pages whose longer side is cut down to a limit."""
-    from collections.abc import Iterable, Iterator
-
-    import pandas as pd
-
-    def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            yield f[["branch", "stage", "stem", "page_seq"]].assign(png=[encode_png(warp.limited(pixels(r), side)[0]) for _, r in f.iterrows()])
-
-    return pages.filter("data is not null").mapInPandas(run, "branch string, stage string, stem string, page_seq long, png binary")
-
-
-def flipbook(pages: DataFrame) -> dict:
-    """Page list of a flipbook: numbered files, and the size of the middle page, by place and not by size."""
-    w = Window.partitionBy(F.lit(0)).orderBy("page_seq")
-    rows = pages.select("stem", "width", "height", "page_seq").withColumn("n", F.row_number().over(w)).orderBy("n").collect()
-    middle = rows[len(rows) // 2] if rows else None
-    return {
-        "pages": [f"{r['n']:03d}.png" for r in rows], "page_count": len(rows),
-        "width": middle["width"] if middle else 0, "height": middle["height"] if middle else 0,
-    }
+def publish(pages: DataFrame, folder: str, side: int = 1600, quality: int = 85) -> dict[tuple[str, str, str], str]:
+    """JPEG files of pages whose longer side is cut down to a limit, by branch, stage and stem; files there stay."""
+    os.makedirs(folder, exist_ok=True)
+    name = F.concat_ws("_", F.when(F.col("branch") != "", F.col("branch")), "stage", F.concat("stem", F.lit(".jpg")))
+    named = pages.filter("data is not null").withColumn("name", name)
+    names = {(r["branch"], r["stage"], r["stem"]): r["name"] for r in named.select("branch", "stage", "stem", "name").toLocalIterator()}
+    there = pages.sparkSession.createDataFrame([(f,) for f in os.listdir(folder)], "name string")
+    for r in images.as_files(tables.without(named, there, "name").drop("name"), side, quality).toLocalIterator():
+        with open(os.path.join(folder, names[r["branch"], r["stage"], r["stem"]]), "wb") as f:
+            f.write(r["file"])
+    return names
+
+
+BOOK = """<!doctype html><meta charset="utf-8"><title>{title}</title><style>body{{margin:0;background:#333;color:#eee;font-family:sans-serif;text-align:center}}
+main{{display:flex;justify-content:center;height:92vh}}img{{max-width:50vw;max-height:92vh;object-fit:contain;background:#fff}}</style>
+<main><img id="l"><img id="r"></main><p><button id="b">back</button> <b id="n"></b> <button id="f">on</button></p>
+<script>const p={pages};let i=0;const e=x=>document.getElementById(x);function show(){{for(const[k,j]of[["l",i-1],["r",i]]){{e(k).style.visibility=
+p[j]?"visible":"hidden";if(p[j])e(k).src=p[j]}}e("n").textContent=(i+1)+" / "+p.length}}e("b").onclick=()=>{{i=Math.max(0,i-2);show()}};
+e("f").onclick=()=>{{i=Math.min(p.length-p.length%2,i+2);show()}};onkeydown=x=>{{if(x.key=="ArrowLeft")e("b").click();if(x.key=="ArrowRight")e("f").click()}};show()</script>"""
+
+
+def flipbook(pages: DataFrame, folder: str, max_width: int = 1600, quality: int = 85, title: str = "") -> dict:
+    """Numbered JPEG files, flipbook.json and a page that turns them; the size is the middle page's, by place."""
+    os.makedirs(folder, exist_ok=True)
+    names, sizes = [], []
+    for r in images.as_files(pages, quality=quality, width=max_width).orderBy("page_seq", "stem").toLocalIterator():
+        names.append(f"{len(names) + 1:03d}.jpg")
+        sizes.append((r["width"], r["height"]))
+        with open(os.path.join(folder, names[-1]), "wb") as f:
+            f.write(r["file"])
+    width, height = sizes[len(sizes) // 2] if sizes else (0, 0)
+    model = {"title": title, "pages": names, "page_count": len(names), "width": width, "height": height}
+    with open(os.path.join(folder, "flipbook.json"), "w") as f:
+        json.dump(model, f)
+    with open(os.path.join(folder, "index.html"), "w") as f:
+        f.write(BOOK.format(title=escape(title), pages=json.dumps(names)))
+    return model

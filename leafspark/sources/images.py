@@ -6,16 +6,21 @@ red), meta (JSON text), status and error. Pixels stay in executors and never cro
 
 from __future__ import annotations
 
+import json
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from leafspark.functions.kernels import warp
+from leafspark.operators import tables
+from leafspark.sources.jpeg import encode_jpeg
+
 SUFFIXES = ("png", "jpg", "jpeg", "tiff", "tif")
 PAGE = T.StructType(
     [
@@ -97,45 +102,81 @@ def list_images(spark: SparkSession, folder: str) -> DataFrame:
     files = spark.read.format("binaryFile").load(folder).select("path", "length")
     name = F.element_at(F.split("path", "/"), -1)
     kept = files.withColumn("name", name).filter(F.lower(F.element_at(F.split("name", r"\."), -1)).isin(list(SUFFIXES)))
-    stem = F.regexp_replace("name", r"\.[^.]*$", "")
-    # One row a page of a book: the order of names needs one task, but only names reach it.
-    seq = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("name")).cast("long")
-    return kept.select("path", stem.alias("stem"), "length", seq.alias("page_seq"))
+    placed = tables.positions(kept, [], ["name"], "at")
+    return placed.select("path", tables.stem(F.col("name")).alias("stem"), "length", (F.col("at") + 1).alias("page_seq"))
+
+
+def read_exif(spark: SparkSession, folder: str) -> DataFrame:
+    """path, EXIF fields as JSON text, and orientation (1 where there is none) of a folder's files."""
+
+    def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            found = [exif(bytes(c)) for c in f["content"]]
+            turned = [int(x.get("orientation") or 1) for x in found]
+            yield pd.DataFrame({"path": f["path"], "exif": [json.dumps(x) for x in found], "orientation": turned})
+
+    # A header lies in a file's first 64 KB; pixels of JPEG files are not sent to Python.
+    files = spark.read.format("binaryFile").load(folder).select("path", F.substring("content", 1, 1 << 16).alias("content"))
+    return files.mapInPandas(run, "path string, exif string, orientation int")
+
+
+def _uprighted(pages: DataFrame) -> DataFrame:
+    """Pages turned and mirrored as their EXIF orientation (a column) says."""
+
+    def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            rows = []
+            for r in f.to_dict("records"):
+                turns = r.pop("orientation")
+                rows.append(as_row(r, warp.exif_upright(pixels(r), turns)))
+            yield pd.DataFrame(rows, columns=PAGE.names)
+
+    return pages.mapInPandas(run, PAGE)
 
 
 def read_pages(spark: SparkSession, folder: str, book: str) -> DataFrame:
-    """Pages of a folder; undecodable files have status 'unreadable' and no pixels."""
+    """Pages of a folder, upright by their EXIF data; undecodable files have status 'unreadable' and no pixels.
+
+    Only pages that are to be turned go through Python.
+    """
     names = list_images(spark, folder)
     img = spark.read.format("image").option("dropInvalid", False).load(folder).select("image.*")
-    joined = names.join(img, F.regexp_replace("path", "^file:/+", "/") == F.regexp_replace("origin", "^file:/+", "/"))
+    plain = lambda c: F.regexp_replace(c, "^file:/+", "/")
+    joined = names.join(img, plain("path") == plain("origin")).join(read_exif(spark, folder), "path")
     ok = F.col("width") > 0
-    return joined.select(
+    pages = joined.select(
         F.lit(book).alias("book"), F.lit("").alias("branch"), F.lit("input").alias("stage"), "stem", "page_seq",
-        "height", "width", F.col("nChannels").alias("channels"), "data", F.lit("{}").alias("meta"),
-        F.when(ok, "ok").otherwise("unreadable").alias("status"), F.lit(None).cast("string").alias("error"),
+        "height", "width", F.col("nChannels").alias("channels"), "data",
+        F.when(F.col("exif") == "{}", F.lit("{}")).otherwise(F.concat(F.lit('{"exif": '), F.col("exif"), F.lit("}"))).alias("meta"),
+        F.when(ok, "ok").otherwise("unreadable").alias("status"), F.lit(None).cast("string").alias("error"), "orientation",
     )
+    turned = (F.col("orientation").between(2, 8)) & (F.col("status") == "ok")
+    return pages.filter(~turned).drop("orientation").unionByName(_uprighted(pages.filter(turned)))
 
 
-def read_exif(spark: SparkSession, folder: str) -> DataFrame:
-    """stem and EXIF fields as JSON text of a folder's images."""
-    import json
+KEYS = ("book", "branch", "stage", "stem", "page_seq")
 
-    def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            yield pd.DataFrame({"path": f["path"], "exif": [json.dumps(exif(bytes(c))) for c in f["content"]]})
 
-    files = spark.read.format("binaryFile").load(folder).select("path", "content")
-    out = files.mapInPandas(run, "path string, exif string")
-    return list_images(spark, folder).select("path", "stem").join(out, "path").select("stem", "exif")
+def as_files(pages: DataFrame, side: int = 0, quality: int = 90, dpi: int = 300, width: int = 0, lossless: bool = False) -> DataFrame:
+    """Keys, width, height, channels and file of readable pages: JPEG, or PNG where ``lossless``.
 
-
-def encoded(pages: DataFrame) -> DataFrame:
-    """book, branch, stage, stem, page_seq and PNG bytes of readable pages."""
+    Images are made smaller where their longer side is over ``side``, or their width over ``width``; made in executors.
+    """
 
     def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            keys = f[["book", "branch", "stage", "stem", "page_seq"]]
-            yield keys.assign(png=[encode_png(pixels(r)) for _, r in f.iterrows()])
-
-    kept = pages.filter("data is not null")
-    return kept.mapInPandas(run, "book string, branch string, stage string, stem string, page_seq long, png binary")
+            rows = []
+            for r in f.to_dict("records"):
+                img = pixels(r)
+                if side:
+                    img = warp.limited(img, side)[0]
+                if width and img.shape[1] > width:
+                    img = warp.resize(img, width, max(1, img.shape[0] * width // img.shape[1]))
+                img = np.ascontiguousarray(img)
+                made = encode_png(img) if lossless else encode_jpeg(img, quality, dpi)
+                rows.append((*[r[k] for k in KEYS], img.shape[1], img.shape[0], img.shape[2] if img.ndim == 3 else 1, made))
+            yield pd.DataFrame(rows, columns=[*KEYS, "width", "height", "channels", "file"])
+
+    kept = pages.filter("data is not null and status <> 'unreadable'").select(*KEYS, "height", "width", "channels", "data")
+    kind = "book string, branch string, stage string, stem string, page_seq long, width int, height int, channels int, file binary"
+    return kept.mapInPandas(run, kind)

@@ -23,8 +23,12 @@ def stage_counts(records: DataFrame) -> DataFrame:
 
 
 def run_available(counts: DataFrame, name: str, checkpoint: str) -> StreamingQuery:
-    """Take in what has arrived since the last run and stop; the totals are the table ``name``."""
-    query = counts.writeStream.outputMode("complete").format("memory").queryName(name).option("checkpointLocation", checkpoint)
+    """Take in what has arrived since the last run and stop; the totals are the table ``name``, written by executors."""
+
+    def write(batch: DataFrame, _: int) -> None:
+        batch.write.mode("overwrite").saveAsTable(name)
+
+    query = counts.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint)
     started = query.trigger(availableNow=True).start()
     started.awaitTermination()
     return started
