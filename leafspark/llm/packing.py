@@ -26,15 +26,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafspark.llm import store
-from leafspark.llm.tokens import encoded
+from leafspark.llm.tokens import CACHE_WORDS, encoded
 
 TOKENS = "row long, doc_id long, doc_tokens long, ids binary"
 
 
 def tokenized(
-    docs: DataFrame, tokenizer: str, cut: str, end_id: int | None, key: str = "doc_id", text: str = "text"
+    docs: DataFrame, tokenizer: str, cut: str, end_id: int | None, key: str = "doc_id", text: str = "text", cache_words: int = CACHE_WORDS
 ) -> DataFrame:
-    """Written table of row (unique), doc_id, doc_tokens and ids."""
+    """Written table of row (unique), doc_id, doc_tokens and ids; a worker holds about cache_words words."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 36
@@ -46,7 +46,7 @@ def tokenized(
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["row", "doc_id", "doc_tokens", "ids"])
 
-        for k, ids in encoded(batches, tokenizer, cut, end_id):
+        for k, ids in encoded(batches, tokenizer, cut, end_id, cache_words):
             out.append((row, k, len(ids) // 4, ids))
             row, size = row + 1, size + len(ids)
             if size > 4 << 20:

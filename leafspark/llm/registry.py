@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,18 @@ def tokenizer(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def settled(q: Query) -> Query:
+    """The query's result as a written table, and what it cut on its way deleted."""
+
+    @wraps(q)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        with store.scratch(spark):
+            return store.cut(q(spark, sf_dir), q.__name__, keep=True)
+
+    return run
+
+
+@settled
 def op1_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = pu_quality.featured(table(spark, sf_dir, "documents"))
     labels = table(spark, sf_dir, "labels").filter(~pu_quality.held_out("doc_id"))
@@ -34,6 +47,7 @@ def op1_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@settled
 def op2_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     tokens = packing.tokenized(docs, tokenizer("word_bpe_49k.json"), "dropped", end_id=2)
@@ -72,8 +86,12 @@ def op6_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@settled
 def op7_interval_tree_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.digests(repeats.removed(table(spark, sf_dir, "documents"), length=50))
+    found = repeats.removed(table(spark, sf_dir, "documents"), length=50)
+    out = store.cut(repeats.digests(found), "digests")
+    found.close()
+    return out
 
 
 #: Domains of the labelled table, and the share of tokens that each shall have.
@@ -86,6 +104,7 @@ def labelled_domains(labels: DataFrame) -> DataFrame:
     return labels.select("doc_id", domain.alias("domain"))
 
 
+@settled
 def op8_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = soft_mixing.train(docs, labelled_domains(labels), list(MIX))

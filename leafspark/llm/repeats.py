@@ -396,10 +396,17 @@ def _kept(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class Removed:
-    """rows: doc_id, t1, t2, n_bytes, sha (without an id). texts: t1, t2, doc (least id), n_bytes, spans, kept bytes."""
+    """rows: doc_id, t1, t2, n_bytes, sha (without an id). texts: t1, t2, doc (least id), n_bytes, spans, kept bytes.
+
+    ``texts`` reads a bucketed table in the shared folder, which ``close`` forgets.
+    """
 
     rows: DataFrame
     texts: DataFrame
+    table: str
+
+    def close(self) -> None:
+        self.rows.sparkSession.sql(f"DROP TABLE IF EXISTS {self.table}")
 
 
 def removed(docs: DataFrame, length: int = 50, key: str = "doc_id", text: str = "text") -> Removed:
@@ -421,7 +428,8 @@ def removed(docs: DataFrame, length: int = 50, key: str = "doc_id", text: str =
     own = named.filter("doc_id is not null").select("doc_id", "text", *hashes)
     distinct = own.groupBy("t1", "t2").agg(F.min("doc_id").alias("doc"), F.first("text").alias("text"))
     name = f"leafspark_texts_{uuid.uuid4().hex}"
-    distinct.write.bucketBy(width, "t1", "t2").option("compression", "zstd").saveAsTable(name)
+    placed = distinct.write.option("path", store.own_path(spark, "texts")).option("compression", "zstd")
+    placed.bucketBy(width, "t1", "t2").saveAsTable(name)
     del distinct
     store.release(spark)
     texts = spark.table(name)
@@ -444,7 +452,7 @@ def removed(docs: DataFrame, length: int = 50, key: str = "doc_id", text: str =
     kept = both.mapInArrow(
         _kept, "t1 long, t2 long, doc long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary"
     )
-    return Removed(rows, kept)
+    return Removed(rows, kept, name)
 
 
 def digests(out: Removed, length: int = 50) -> DataFrame:

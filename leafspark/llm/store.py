@@ -61,13 +61,19 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             drop_path(spark, path)
 
 
-def cut(df: DataFrame, name: str, codec: str = "snappy", keep: bool = False) -> DataFrame:
-    """Write df once and go on from the written table."""
-    spark = df.sparkSession
+def own_path(spark: SparkSession, name: str, keep: bool = False) -> str:
+    """A new path that goes with the tables cut here."""
     path = new_path(spark, name)
     owners = _OPEN[:-1] if keep else _OPEN
     if owners:
         owners[-1].append(path)
+    return path
+
+
+def cut(df: DataFrame, name: str, codec: str = "snappy", keep: bool = False) -> DataFrame:
+    """Write df once and go on from the written table."""
+    spark = df.sparkSession
+    path = own_path(spark, name, keep)
     with small_batches(spark):
         df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -10,8 +10,8 @@ Texts are cut and their words numbered many at once by Arrow kernels, so Python
 texts; ids are then gathered from one array. A new word of a plain alphabet is split as the tokenizer's
 pre-splitting does, and each piece goes through the library's merges; others are encoded by the whole library,
 many at once, with a separator between them whose own id shows where each ends. The cache is emptied when
-full, which bounds a worker's memory, and when a worker has had no text for some seconds, so that later
-stages get the memory back.
+full of all words but those that came up most, which bounds a worker's memory, and of everything when a worker has
+had no text for some seconds, so that later stages get the memory back.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 
 from leafspark.llm.store import give_back
 
-CACHE_WORDS = 1_500_000
+CACHE_WORDS = 1_000_000
 BATCH = 4096
 BLOCK_CHARS = 1 << 20
 IDLE_SECONDS = 4.0
@@ -60,16 +60,30 @@ class Encoder:
         self.glued = cut == "glued"
         self.mark = "\n" if self.glued else " | "
         (self.mark_id,) = self.tokenizer.encode(self.mark, add_special_tokens=False).ids
-        self.lock, self.users = threading.Lock(), 0
+        self.lock, self.users, self.cache_words = threading.Lock(), 0, CACHE_WORDS
         self._empty()
 
     def _empty(self) -> None:
         """Word number k has the ids ids[starts[k] : starts[k] + sizes[k]]."""
         self.known: dict[str, int] = {}
         self.ids = np.zeros(1 << 12, dtype="<u4")
-        self.starts, self.sizes = np.zeros(1 << 10, dtype=np.int64), np.zeros(1 << 10, dtype=np.int64)
+        self.starts, self.sizes, self.hits = (np.zeros(1 << 10, dtype=np.int64) for _ in range(3))
         self.held = 0
 
+    def _shrink(self) -> None:
+        """Keep the words that most blocks have asked for since the last time, half of the cache at most."""
+        n = len(self.known)
+        hits = self.hits[:n]
+        least = 1
+        while np.count_nonzero(hits >= least) > self.cache_words // 2:
+            least += 1
+        kept = hits >= least
+        words = [w for w, k in zip(self.known, kept.tolist()) if k]
+        at = np.flatnonzero(kept)
+        ids, sizes = self.gathered(at), self.sizes[at]
+        self._empty()
+        self._put(words, sizes, ids)
+
     def __enter__(self) -> Encoder:
         with self.lock:
             self.users += 1
@@ -115,6 +129,7 @@ class Encoder:
         while n + k > len(self.starts):
             self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
             self.sizes = np.concatenate([self.sizes, np.zeros_like(self.sizes)])
+            self.hits = np.concatenate([self.hits, np.zeros_like(self.hits)])
         self.ids[self.held : self.held + len(ids)] = ids
         self.sizes[n : n + k] = sizes
         self.starts[n : n + k] = self.held + np.cumsum(sizes) - sizes
@@ -223,9 +238,10 @@ class Encoder:
         offsets = cut.offsets.to_numpy()
         words = cut.flatten().dictionary_encode()
         units = words.dictionary.to_numpy(zero_copy_only=False).tolist()
-        if len(self.known) + len(units) > CACHE_WORDS:
-            self._empty()
+        if len(self.known) > self.cache_words:
+            self._shrink()
         at = np.fromiter(map(self.known.get, units, repeat(NEW)), np.int64, len(units))
+        self.hits[at[at >= 0]] += 1
         fresh = np.flatnonzero(at == NEW)
         if len(fresh):
             names = [units[i] for i in fresh.tolist()]
@@ -273,20 +289,21 @@ class Encoder:
         ]
 
 
-def encoder(path: str, cut: str) -> Encoder:
-    """One encoder a Python worker, whose cache outlives the task."""
+def encoder(path: str, cut: str, cache_words: int = CACHE_WORDS) -> Encoder:
+    """One encoder a Python worker, whose cache outlives the task; a word takes some 200 bytes of it."""
     if (path, cut) not in _ENCODERS:
         gc.set_threshold(100_000, 20, 100)  # words and ids make no cycles
         _ENCODERS[path, cut] = Encoder(path, cut)
+    _ENCODERS[path, cut].cache_words = cache_words
     return _ENCODERS[path, cut]
 
 
 def encoded(
-    batches: Iterable[pa.RecordBatch], path: str, cut: str, end_id: int | None
+    batches: Iterable[pa.RecordBatch], path: str, cut: str, end_id: int | None, cache_words: int = CACHE_WORDS
 ) -> Iterator[tuple[int | None, bytes]]:
     """(first column, ids with end_id) of each row of two-column batches; a null text is empty."""
     end = b"" if end_id is None else np.asarray([end_id], dtype="<u4").tobytes()
-    with encoder(path, cut) as enc:
+    with encoder(path, cut, cache_words) as enc:
         for batch in batches:
             keys, texts = (batch.column(c).to_pylist() for c in (0, 1))
             at = 0
