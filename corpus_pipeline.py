@@ -21,6 +21,9 @@ from leafspark.llm import near_dedup, packing, pii, quality_rules, registry, sof
 #: of the others are upper bounds, so poor and toxic text shrinks where there is more of it, and nothing else does.
 MIX = {"good": 0.989, "poor": 0.01, "toxic": 0.001}
 
+#: Words that a worker keeps while it tokenizes: after four other stages the executor has less memory left.
+CACHE_WORDS = 400_000
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.cascade(docs)
@@ -44,7 +47,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    tokens = packing.tokenized(docs, registry.tokenizer("word_bpe_49k.json"), "dropped", end_id=2)
+    tokens = packing.tokenized(docs, registry.tokenizer("word_bpe_49k.json"), "dropped", end_id=2, cache_words=CACHE_WORDS)
     return packing.pack(tokens).sequences()
 
 
